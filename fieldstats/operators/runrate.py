@@ -33,11 +33,11 @@ def projected(count: Column) -> Column:
     return F.try_divide(count.cast("double"), F.col("dayssofar")) * F.col("workingday")
 
 
-def case_volume(params: JobParams, case_date: Column, status: Column) -> Column:
-    """Weight of one case: projected in the running quarter, 1 earlier, else 0.
+def case_periods(params: JobParams, case_date: Column, status: Column) -> tuple[Column, Column]:
+    """Two conditions on a completed case: in the running quarter so far, or earlier.
 
     The comparison with the running quarter looks at the quarter number alone, so
-    a case of a later year in a smaller quarter also weighs 1.
+    a case of a later year in a smaller quarter also counts as earlier.
     """
     done = status == params.completed
     quarter = (params.as_of.month - 1) // 3 + 1
@@ -47,8 +47,10 @@ def case_volume(params: JobParams, case_date: Column, status: Column) -> Column:
         & (F.year(case_date) == params.as_of.year)
     )
     earlier = (F.year(case_date) < params.as_of.year) | (F.quarter(case_date) < quarter)
-    return (
-        F.when(running & done, projected(F.lit(1)))
-        .when(earlier & done, F.lit(1.0))
-        .otherwise(F.lit(0.0))
-    )
+    return running & done, earlier & done
+
+
+def case_volume(params: JobParams, case_date: Column, status: Column) -> Column:
+    """Weight of one case: projected in the running quarter, 1 earlier, else 0."""
+    running, earlier = case_periods(params, case_date, status)
+    return F.when(running, projected(F.lit(1))).when(earlier, F.lit(1.0)).otherwise(F.lit(0.0))

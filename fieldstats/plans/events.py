@@ -75,6 +75,38 @@ EVENT_LOG = T.StructType(
 )
 
 
+# The opportunity columns whose distinct rows count as one opportunity.
+OPPORTUNITY_COLUMNS = [
+    "opportunityid",
+    "name",
+    "accountguid",
+    "closedate",
+    "deleted",
+    "status",
+    "createddate",
+    "closed",
+    "won",
+    "forecastcategory",
+    "forecastcategoryname",
+    "transactionstructure",
+    "avpcall",
+    "stage",
+    "amount",
+    "expectedamount",
+    "probability",
+    "quantity",
+    "financingpartnername",
+    "budgetcycle",
+    "money",
+    "method",
+    "product",
+    "productfamily",
+    "producttype",
+    "opportunitytype",
+    "greenfield",
+]
+
+
 @dataclass(frozen=True)
 class EventRules:
     """Names and ordered patterns of the event log."""
@@ -127,6 +159,7 @@ def capital_events(tables: Mapping[str, DataFrame], params: JobParams, rules: Ev
     # opportunity, account and line items first: each event then takes one join for them
     opportunities = (
         tables["opportunity"]
+        .select(*OPPORTUNITY_COLUMNS)
         .distinct()
         .join(accounts, "accountguid")
         .join(product_mix(tables["opportunity_line"], rules), "opportunityid", "left")
@@ -215,13 +248,8 @@ def clinical_events(tables: Mapping[str, DataFrame], params: JobParams, rules: E
     surgeon_account = (
         tables["contact"]
         .select(F.col("contactguid").alias("pathway_surgeon"), "accountguid")
-        .join(region, "accountguid", "left")
-        .select(
-            "pathway_surgeon",
-            # only accounts that exist count
-            F.when(F.col("capitalregion").isNotNull(), F.col("accountguid")).alias("pathway_account"),
-            F.col("capitalregion").alias("pathway_region"),
-        )
+        .join(region.withColumn("pathway_account", F.col("accountguid")), "accountguid", "left")
+        .select("pathway_surgeon", "pathway_account", F.col("capitalregion").alias("pathway_region"))
     )
     pathways = (
         tables["milestone_pathway"]

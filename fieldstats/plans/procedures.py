@@ -14,7 +14,7 @@ from fieldstats.functions.text import in_class
 from fieldstats.operators.lookup import cross_one_row
 from fieldstats.operators.pivots import sums_where
 from fieldstats.operators.ranking import first_row_per_key
-from fieldstats.operators.runrate import case_volume, run_rate_calendar
+from fieldstats.operators.runrate import case_periods, case_volume, run_rate_calendar
 from fieldstats.operators.tiers import NO_PRIOR_ACTIVITY, cohort_tier, volume_tier
 from fieldstats.params import JobParams
 
@@ -182,20 +182,25 @@ def quarter_snapshot(tables: Mapping[str, DataFrame], params: JobParams, rules:
     )
 
 
-def surgeon_volume(cases: DataFrame) -> DataFrame:
+def surgeon_volume(cases: DataFrame, params: JobParams, calendar: DataFrame) -> DataFrame:
     """Per surgeon and quarter: tiers by distinct cases and by projected volume.
 
-    ``cases`` holds surgeonguid, quarter, recordid and volume.
+    Cases are counted as whole numbers and projected once per group, so no
+    rounding of single weights can move a group over a limit.
     """
-    return (
-        cases.groupBy("surgeonguid", "quarter")
-        .agg(F.count_distinct("recordid").alias("n_cases"), F.sum("volume").alias("volume"))
-        .select(
-            "surgeonguid",
-            "quarter",
-            volume_tier(F.col("n_cases")).alias("by_cases"),
-            volume_tier(F.col("volume")).alias("by_volume"),
-        )
+    running, earlier = case_periods(params, F.col("proceduredatelocal"), F.col("status"))
+    counted = cases.groupBy("surgeonguid", quarter_key(F.col("proceduredatelocal")).alias("quarter")).agg(
+        F.count_distinct("recordid").alias("n_cases"),
+        F.count(F.when(running, 1)).alias("n_running"),
+        F.count(F.when(~running & earlier, 1)).alias("n_earlier"),
+    )
+    so_far = F.try_divide(F.col("n_running") * F.col("workingday"), "dayssofar")
+    volume = F.col("n_earlier") + F.when(F.col("n_running") > 0, so_far).otherwise(F.lit(0.0))
+    return cross_one_row(counted, calendar).select(
+        "surgeonguid",
+        "quarter",
+        volume_tier(F.col("n_cases")).alias("by_cases"),
+        volume_tier(volume).alias("by_volume"),
     )
 
 
@@ -218,11 +223,11 @@ def duration_population(
     volume = case_volume(params, F.col("proceduredatelocal"), F.col("status"))
     quarter = quarter_key(F.col("proceduredatelocal"))
 
-    counted = cross_one_row(
+    tiers = surgeon_volume(
         recent.join(hospitals.select("accountguid"), "accountguid", "left_semi"),
+        params,
         calendar if tier_calendar is None else tier_calendar,
     )
-    tiers = surgeon_volume(counted.select("surgeonguid", "recordid", quarter.alias("quarter"), volume.alias("volume")))
 
     account = hospitals.select(
         "accountguid",
