@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,14 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     )
 
 
+def order_day() -> Column:
+    return F.to_date("o_orderdate")
+
+
+def ship_day() -> Column:
+    return F.to_date("l_shipdate")
+
+
 # Literals of the run date for the SQL checks.
 AS_OF = f"date '{PARAMS.as_of}'"
 QUARTER_FIRST = f"date '{PARAMS.quarter_first}'"
