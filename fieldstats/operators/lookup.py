@@ -6,14 +6,21 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+UNBOUNDED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 # Longest value list written into the plan as literals; longer ones are joined.
 LITERAL_LIST_LIMIT = 1000
 
 
 def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame (a global aggregate) to every row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Append the columns of a one-row frame (a global aggregate) to every row.
+
+    One row of numbers, flags and dates is a few bytes and is broadcast. Text has no
+    such bound, so there Spark chooses by size.
+    """
+    fixed = all(not isinstance(f.dataType, UNBOUNDED) for f in one_row.schema.fields)
+    return df.crossJoin(F.broadcast(one_row) if fixed else one_row)
 
 
 def keep_members(df: DataFrame, column: str, values: Sequence[str] | DataFrame) -> DataFrame:

@@ -74,7 +74,9 @@ def population_by_quarter(
     """Tiers, lags and ever-active flags per surgeon and quarter, without lookups."""
     labels = [label for label, _ in params.models]
     suffixes = ["", *[f"_{label}" for label in labels]]
-    entity = Window.partitionBy("surgeonguid")
+    ordered = Window.partitionBy("surgeonguid").orderBy("quarter_index")
+    # the same order as all other windows, so one sort serves them
+    all_quarters = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = [f"n_quarter{s}" for s in suffixes]
 
     rows = quarterly_activity(tables, params, count_scope)
@@ -83,7 +85,7 @@ def population_by_quarter(
         "quarter_index",
         "n_region",
         *[F.when(F.col("n_rows") > 0, F.col(c)).alias(c) for c in counts],
-        *[F.min(f"first{s}").over(entity).alias(f"first{s}") for s in suffixes],
+        *[F.min(f"first{s}").over(all_quarters).alias(f"first{s}") for s in suffixes],
     ).where(F.col("quarter_index") >= quarter_index(F.col("first")))
     rows = fill_gaps(rows, "surgeonguid", params.quarter_index, ["n_region", *counts])
     rows = rows.withColumn("past_year", F.coalesce(trailing_sum("surgeonguid", F.col("n_region")), F.lit(0)))
@@ -97,7 +99,6 @@ def population_by_quarter(
 
     tier = {f"tier{s}": activity_tier(F.col(f"n_quarter{s}"), MODEL_TIERS if s else POPULATION_TIERS) for s in suffixes}
     rows = rows.withColumns({**tier, "detailed": activity_tier(F.col("n_quarter"), DETAILED_TIERS)})
-    ordered = entity.orderBy("quarter_index")
     quarter = F.col("quarter_index")
     name = "SurgeonPopulation"
     return rows.select(

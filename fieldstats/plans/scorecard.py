@@ -6,14 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldstats.functions.dates import quarter_key, shift_zone
 from fieldstats.operators.lookup import cross_one_row
 from fieldstats.operators.pivots import counts_where, sums_where
 from fieldstats.operators.ranges import count_year_before
-from fieldstats.operators.ranking import first_row_per_key, top_rank_per_key
+from fieldstats.operators.ranking import first_row_per_key
 from fieldstats.operators.runrate import projected, run_rate_calendar
 from fieldstats.params import JobParams
 
@@ -279,7 +279,11 @@ def account_run_rate(
 
 
 def before_last_install(tables: Mapping[str, DataFrame], rules: ScorecardRules) -> DataFrame:
-    """Cases in the year before each account's top-ranked incremental install, ties kept."""
+    """Cases in the year before each account's top-ranked incremental install, ties kept.
+
+    Equal items are merged before they are ranked, so what can tie at the first
+    rank is a few models and categories per account, never its repeated lines.
+    """
     lines = tables["opportunity_line"].where(
         F.col("systemserialnumbercpq").isNotNull()
         & ~F.col("deleted")
@@ -287,28 +291,26 @@ def before_last_install(tables: Mapping[str, DataFrame], rules: ScorecardRules)
         & (F.col("dealtype") == rules.deal_type)
     )
     systems = tables["installbase"].select(
-        F.col("name").alias("systemserialnumbercpq"), "accountguid", "financeinstalleddate"
+        F.col("name").alias("systemserialnumbercpq"), "accountguid", "financeinstalleddate", "model"
     )
+    category = F.when(F.col("greenfield"), F.lit(rules.greenfield_label)).otherwise(F.col("dealtype"))
     items = (
         lines.select("opportunityid", "systemserialnumbercpq", "dealtype")
         .join(tables["opportunity"].select("opportunityid", "accountguid", "greenfield"), "opportunityid")
+        .select("accountguid", "systemserialnumbercpq", category.alias("category"))
+        .distinct()
         .join(systems, ["systemserialnumbercpq", "accountguid"], "left")
-        .withColumn(
-            "category", F.when(F.col("greenfield"), F.lit(rules.greenfield_label)).otherwise(F.col("dealtype"))
-        )
+        .distinct()
     )
-    top = top_rank_per_key(
-        items,
-        ["accountguid"],
-        [("financeinstalleddate", "desc_nulls_first"), ("systemserialnumbercpq", "asc_nulls_last")],
-    ).where(F.col("category") == rules.deal_type)
-    cases = tables["procedure_summary"].select("accountguid", "localproceduredate", "procedureguid")
-    # the reference groups by every item column, so equal items become one row
-    items_once = top.select(
-        "accountguid", "systemserialnumbercpq", "category", "financeinstalleddate"
+    order = [F.col("financeinstalleddate").desc_nulls_first(), F.col("systemserialnumbercpq").asc_nulls_last()]
+    top = (
+        items.withColumn("position", F.rank().over(Window.partitionBy("accountguid").orderBy(*order)))
+        .where((F.col("position") == 1) & (F.col("category") == rules.deal_type))
+        .drop("position")
     )
+    cases = tables["procedure_summary"].select("accountguid", "localproceduredate", "procedureguid")
     return count_year_before(
-        items_once.distinct(),
+        top,
         cases,
         "accountguid",
         "financeinstalleddate",

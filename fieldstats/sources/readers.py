@@ -16,8 +16,15 @@ _ITEMS = T.ArrayType(T.StructType().add("diagCdNm", "string").add("ptntCnt", "st
 TOTAL_CLASS = "계"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table; its schema is read from the files once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
