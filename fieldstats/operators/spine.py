@@ -17,10 +17,10 @@ def calendar_spine(entities: DataFrame, first_index: int, last_index: int) -> Da
 
 
 def activity_spine(entities: DataFrame, first_index: Column, floor_index: int, last_index: int) -> DataFrame:
-    """Every entity in each quarter from its first activity (or the floor) on."""
+    """Every entity in each quarter from its first activity (or the floor) on; never-active ones have none."""
     start = F.greatest(first_index, F.lit(floor_index))
     return (
-        entities.where(start <= last_index)
+        entities.where(first_index.isNotNull() & (start <= last_index))
         .withColumn("quarter_index", F.explode(F.sequence(start, F.lit(last_index))))
         .withColumn("quarter", index_key(F.col("quarter_index")))
     )

@@ -50,8 +50,7 @@ def matching_codes(sheet: DataFrame) -> DataFrame:
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses, one JSON line each: ``{"year", "code", "body"}``."""
-    schema = T.StructType().add("year", "int").add("code", "string").add("body", "string")
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema("year int, code string, body string").json(path)
 
 
 def response_items(responses: DataFrame, body: str = "body") -> DataFrame:
