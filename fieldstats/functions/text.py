@@ -27,10 +27,11 @@ def leading_code(label: Column) -> Column:
     return F.upper(extract_or_null(label, CODE_PATTERN))
 
 
-def plain_integer(text: Column) -> Column:
-    """Integer of ``'1,234'``; a lone ``'-'`` is 0, other text raises."""
+def plain_integer(text: Column, strict: bool = True) -> Column:
+    """Integer of ``'1,234'``; a lone ``'-'`` is 0, other text raises or, if not strict, is NULL."""
     bare = F.regexp_replace(text, ",", "")
-    return F.when(bare == "-", "0").otherwise(bare).cast("bigint")
+    digits = F.when(bare == "-", "0").otherwise(bare)
+    return digits.cast("bigint") if strict else digits.try_cast("bigint")
 
 
 def first_like(text: Column, rules: Sequence[tuple[str, str]], default: str | None = None) -> Column:

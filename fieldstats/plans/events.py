@@ -274,9 +274,10 @@ def clinical_events(tables: Mapping[str, DataFrame], params: JobParams, rules: E
         .join(region.toDF("opportunity_account", "opportunity_region"), "opportunity_account", "left")
     )
     named = tables["contact"].select(F.col("contactguid").alias("nameid"), F.col("contactguid").alias("named_contact"))
+    # what an event can relate to, in one lookup: each event is joined to it once
+    related = pathways.join(opportunities, "relatedtoid", "full")
     rows = (
-        events.join(pathways, "relatedtoid", "left")
-        .join(opportunities, "relatedtoid", "left")
+        events.join(related, "relatedtoid", "left")
         .where(F.coalesce("pathway_region", "opportunity_region") == params.region)
         .join(named, "nameid", "left")
     )

@@ -35,15 +35,22 @@ def counts_from_sheet(record: DataFrame, code_map: DataFrame) -> DataFrame:
     """
     label, years = F.col(f"`{record.columns[1]}`"), record.columns[2:]
     names = code_map.select(F.trim(F.upper("code")).alias("Code"), F.col("name").alias("DRG_Name"))
-    rows = (
-        record.where(without_match(label, SUBTOTAL_PATTERN))
-        .withColumn("Code", leading_code(label))
-        .join(names.select("Code"), "Code", "left_semi")
+    rows = record.where(without_match(label, SUBTOTAL_PATTERN)).withColumn("Code", leading_code(label))
+    long = wide_to_long(rows.where(F.col("Code").isNotNull()), ["Code"], years, "Year", "Patients")
+    number = plain_integer(F.col("Patients"), strict=False)
+    # summed before the codes are looked up; a cell that is no number counts against its
+    # code only, and raises only where the code is listed
+    summed = long.groupBy(F.col("Year").cast("int").alias("Year"), "Code").agg(
+        F.sum(number).alias("KOSIS_Patients"),
+        F.min(F.when(number.isNull(), F.col("Patients"))).alias("bad_cell"),
     )
-    long = wide_to_long(rows, ["Code"], years, "Year", "Patients").select(
-        "Code", F.col("Year").cast("int").alias("Year"), plain_integer(F.col("Patients")).alias("Patients")
+    yearly = summed.join(names.select("Code"), "Code", "left_semi").select(
+        "Year",
+        "Code",
+        F.when(F.col("bad_cell").isNull(), F.col("KOSIS_Patients"))
+        .otherwise(F.raise_error(F.concat(F.lit("no number: "), "bad_cell")))
+        .alias("KOSIS_Patients"),
     )
-    yearly = long.groupBy("Year", "Code").agg(F.sum("Patients").alias("KOSIS_Patients"))
     return yearly.join(names, "Code", "left").select(
         F.lit("DRG").alias("Source"),
         "Year",

@@ -86,8 +86,7 @@ def quota_by_quarter(tables: Mapping[str, DataFrame], params: JobParams, rules:
         (F.col("capitalregion") == params.region) & (F.col("recordtype") == params.record_type)
     )
     bucket = F.when(F.col("businesscategory") == rules.growth_category, "Growth").otherwise(F.col("businesscategory"))
-    quota = tables["account_quota"].join(hospitals, "accountguid", "left_semi")
-    return quota.groupBy("accountguid", F.concat("fiscalyear", F.lit("-"), "quarter").alias("quarter_key")).agg(
+    summed = tables["account_quota"].groupBy("accountguid", F.concat("fiscalyear", F.lit("-"), "quarter").alias("quarter_key")).agg(
         *sums_where(
             {
                 "Other - Forecast": F.coalesce(bucket == "Other", F.lit(False)),
@@ -98,6 +97,7 @@ def quota_by_quarter(tables: Mapping[str, DataFrame], params: JobParams, rules:
             empty_as_zero=True,
         )
     )
+    return summed.join(hospitals, "accountguid", "left_semi")
 
 
 def quarter_snapshot(tables: Mapping[str, DataFrame], params: JobParams, rules: SnapshotRules) -> DataFrame:

@@ -90,7 +90,8 @@ def market_volume(tables: Mapping[str, DataFrame], params: JobParams) -> DataFra
     """Distinct third-party volumes of the latest date, summed per account.
 
     The date must be the latest for the region's hospitals both by clinical and
-    by capital region.
+    by capital region. Volumes are reduced to dates per account before they meet
+    the accounts, and to the latest date before they are summed.
     """
     accounts = tables["account"].where(F.col("recordtype") == params.record_type)
     flagged = accounts.select(
@@ -98,22 +99,25 @@ def market_volume(tables: Mapping[str, DataFrame], params: JobParams) -> DataFra
         (F.col("clinicalregion") == params.region).alias("clinical"),
         (F.col("capitalregion") == params.region).alias("capital"),
     ).where("clinical or capital")
-    volumes = tables["third_party_volume"].join(flagged, "accountguid")
-    newest = volumes.agg(
-        F.max(F.when(F.col("clinical"), F.col("date"))).alias("newest_clinical"),
-        F.max(F.when(F.col("capital"), F.col("date"))).alias("newest_capital"),
+    volumes = tables["third_party_volume"].select("accountguid", "proceduresubject", "totalvolume", "date")
+    newest = (
+        volumes.groupBy("accountguid")
+        .agg(F.max("date").alias("date"))
+        .join(flagged, "accountguid")
+        .agg(
+            F.max(F.when(F.col("clinical"), F.col("date"))).alias("newest_clinical"),
+            F.max(F.when(F.col("capital"), F.col("date"))).alias("newest_capital"),
+        )
     )
     latest = cross_one_row(volumes, newest).where(
-        F.col("clinical")
-        & F.col("capital")
-        & (F.col("date") == F.col("newest_clinical"))
-        & (F.col("date") == F.col("newest_capital"))
+        (F.col("date") == F.col("newest_clinical")) & (F.col("date") == F.col("newest_capital"))
     )
     return (
         latest.select("accountguid", "proceduresubject", "totalvolume", "date")
         .distinct()
         .groupBy("accountguid")
         .agg(F.sum("totalvolume").alias("TAM"))
+        .join(flagged.where("clinical and capital"), "accountguid", "left_semi")
     )
 
 
@@ -122,13 +126,13 @@ def nearest_opportunity(tables: Mapping[str, DataFrame], params: JobParams, rule
     opportunities = tables["opportunity"].where(
         (F.col("forecastcategory") == rules.open_category) & (F.col("closedate") >= F.lit(params.quarter_first))
     )
-    near = opportunities.join(accounts.select("accountguid"), "accountguid", "left_semi")
     first = first_row_per_key(
-        near.select("accountguid", "closedate", "opportunityid"),
+        opportunities.select("accountguid", "closedate", "opportunityid"),
         ["accountguid"],
         [F.col("closedate").asc(), F.col("opportunityid").asc()],
     )
-    return first.select("accountguid", F.col("closedate").alias("MinCloseDate"))
+    near = first.join(accounts.select("accountguid"), "accountguid", "left_semi")
+    return near.select("accountguid", F.col("closedate").alias("MinCloseDate"))
 
 
 def opportunity_activity(tables: Mapping[str, DataFrame], params: JobParams, rules: ScorecardRules) -> DataFrame:
@@ -160,12 +164,12 @@ def opportunity_activity(tables: Mapping[str, DataFrame], params: JobParams, rul
         )
         .select("activityid", F.col("accountid").alias("accountguid"), "relatedtoid", "pillar", "salesstep", "enddatetime")
         .join(opportunities, "relatedtoid")
-        .join(_hospitals(tables, params).select("accountguid"), "accountguid", "left_semi")
     )
-    return events.groupBy("accountguid").agg(
+    per_account = events.groupBy("accountguid").agg(
         *sums_where({p: counted & (F.col("pillar") == p) for p in rules.pillars}, F.lit(1)),
         F.nullif(F.count(F.when(meeting, F.col("activityid"))), F.lit(0)).alias("BAM Volume (Past 1 Year)"),
     )
+    return per_account.join(_hospitals(tables, params).select("accountguid"), "accountguid", "left_semi")
 
 
 def pathway_activity(tables: Mapping[str, DataFrame], params: JobParams, rules: ScorecardRules) -> DataFrame:
@@ -219,20 +223,17 @@ def installed_systems(tables: Mapping[str, DataFrame], params: JobParams, rules:
         & ~F.col("inactive")
     )
     model = F.col("model")
-    return (
-        in_use.join(_hospitals(tables, params).select("accountguid"), "accountguid", "left_semi")
-        .groupBy("accountguid")
-        .agg(
-            *sums_where(
-                {
-                    "# GEN 4": model.isin(list(rules.newest_models)),
-                    "# GEN 3": model.isin(list(rules.older_models)),
-                },
-                F.lit(1),
-            ),
-            F.max("financeinstalleddate").alias("latestinstalleddate"),
-        )
+    per_account = in_use.groupBy("accountguid").agg(
+        *sums_where(
+            {
+                "# GEN 4": model.isin(list(rules.newest_models)),
+                "# GEN 3": model.isin(list(rules.older_models)),
+            },
+            F.lit(1),
+        ),
+        F.max("financeinstalleddate").alias("latestinstalleddate"),
     )
+    return per_account.join(_hospitals(tables, params).select("accountguid"), "accountguid", "left_semi")
 
 
 def case_counts(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame:
@@ -244,21 +245,18 @@ def case_counts(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame
     hospitals = tables["account"].where(
         (F.col("recordtype") == params.record_type) & (F.col("clinicalregion") == params.region)
     )
-    return (
-        cases.join(hospitals.select("accountguid"), "accountguid", "left_semi")
-        .groupBy("accountguid")
-        .agg(
-            *counts_where(
-                {
-                    "Completed Procedures": (day >= F.lit(params.quarter_first)) & (day <= F.lit(params.week_cutoff)),
-                    "P.Q. Completed Procedures": (day >= F.lit(params.previous_quarter_first))
-                    & (day < F.lit(params.quarter_first)),
-                    "P.Y. Completed Procedures": F.year(day) == params.as_of.year - 1,
-                },
-                F.col("recordid"),
-            )
+    per_account = cases.groupBy("accountguid").agg(
+        *counts_where(
+            {
+                "Completed Procedures": (day >= F.lit(params.quarter_first)) & (day <= F.lit(params.week_cutoff)),
+                "P.Q. Completed Procedures": (day >= F.lit(params.previous_quarter_first))
+                & (day < F.lit(params.quarter_first)),
+                "P.Y. Completed Procedures": F.year(day) == params.as_of.year - 1,
+            },
+            F.col("recordid"),
         )
     )
+    return per_account.join(hospitals.select("accountguid"), "accountguid", "left_semi")
 
 
 def account_run_rate(
@@ -292,7 +290,7 @@ def before_last_install(tables: Mapping[str, DataFrame], rules: ScorecardRules)
     )
     systems = tables["installbase"].select(
         F.col("name").alias("systemserialnumbercpq"), "accountguid", "financeinstalleddate", "model"
-    )
+    ).distinct()
     category = F.when(F.col("greenfield"), F.lit(rules.greenfield_label)).otherwise(F.col("dealtype"))
     items = (
         lines.select("opportunityid", "systemserialnumbercpq", "dealtype")
@@ -327,9 +325,13 @@ def account_scorecard(
     rules: ScorecardRules,
     calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """All metric blocks, each reduced to one row per account, joined on the account."""
+    """All metric blocks, each reduced to one row per account, joined on the account.
+
+    Blocks meet each other before they meet the team rows. The run-rate block holds
+    exactly the accounts of the base, so a left join keeps what a full join would.
+    """
     calendar = run_rate_calendar(spark, params) if calendar is None else calendar
-    rows = base_accounts(tables, params, rules)
+    metrics = account_run_rate(tables, params, calendar)
     for block in (
         market_volume(tables, params),
         nearest_opportunity(tables, params, rules),
@@ -337,11 +339,10 @@ def account_scorecard(
         pathway_activity(tables, params, rules),
         installed_systems(tables, params, rules),
         surgeon_contacts(tables, params, rules),
+        before_last_install(tables, rules),
     ):
-        rows = rows.join(block, "accountguid", "left")
-    run_rate = account_run_rate(tables, params, calendar).withColumnRenamed("accountguid", "__run_guid")
-    rows = rows.join(run_rate, F.col("accountguid") == F.col("__run_guid"), "full")
-    rows = rows.join(before_last_install(tables, rules), "accountguid", "left")
+        metrics = metrics.join(block, "accountguid", "left")
+    rows = base_accounts(tables, params, rules).join(metrics, "accountguid", "left")
 
     systems = F.coalesce("# GEN 4", F.lit(0)) + F.coalesce("# GEN 3", F.lit(0))
     last_quarter = F.col("`P.Q. Completed Procedures`") * 4

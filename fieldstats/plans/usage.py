@@ -162,7 +162,7 @@ def app_usage(tables: Mapping[str, DataFrame], params: JobParams, rules: UsageRu
         "number_of_sessions_bysurgeon",
     )
     logged = logged_cases(tables, rules).select(
-        F.col("name").alias("casenumber"),
+        F.col("name").alias("procedure_name"),
         F.col("name").alias("log_casenumber"),
         F.col("procedure_date_local__c").alias("log_procedure_date_local"),
     )
@@ -173,12 +173,13 @@ def app_usage(tables: Mapping[str, DataFrame], params: JobParams, rules: UsageRu
     )
     details = drop_members(tables["surgeon_details"], "sfdc_contact_id", rules.excluded_users)
     day = F.to_date("procedure_date_local__c")
+    # cases with their log-ons, and users with their groups, are put together first:
+    # the detail rows then take one join for each
+    cases = cases.join(logged, "procedure_name", "left").withColumnRenamed("procedure_name", "casenumber")
+    users = users.join(groups, "sfdc_contact_id", "left")
     rows = (
-        details.join(cases, details["casenumber"] == cases["procedure_name"])
-        .drop(cases["procedure_name"])
-        .join(logged, "casenumber", "left")
+        details.join(cases, "casenumber")
         .join(users, "sfdc_contact_id", "left")
-        .join(groups, "sfdc_contact_id", "left")
         .join(usage, ["uma_user_id", "__case"], "left")
         .withColumns(
             {

@@ -68,11 +68,30 @@ def with_validity(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
     )
 
 
+def merged_systems(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
+    """Equal system rows as one, with their number in ``n_rows``."""
+    return (
+        with_validity(systems, rules)
+        .groupBy(
+            "accountguid",
+            "accountname",
+            "name",
+            "model",
+            "type",
+            "systemuse",
+            "start_quarter",
+            "start_index",
+            "end_index",
+        )
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
 def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
     """Installed systems per account, system and quarter, with fleet flag and models.
 
-    Every listed account name of a system counts its rows once more, as the
-    distinct listing does.
+    ``systems`` are merged rows. Every listed account name of a system counts its
+    rows once more, as the distinct listing does.
     """
     keys = ["accountguid", "name"]
     open_rows = (F.col("type") == "System") & (F.col("systemuse") == "OR") & ~F.col("model").isin(
@@ -80,7 +99,7 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFra
     )
     first, last = rules.first_year * 4, rules.last_year * 4 + 3
     counted = count_open_intervals(
-        systems.where(open_rows), keys, "start_index", "end_index", first, last, label="model"
+        systems.where(open_rows), keys, "start_index", "end_index", first, last, label="model", weight="n_rows"
     )
     listed = (
         systems.select(*keys, "accountname", F.col("model").alias("system_model"))
@@ -102,7 +121,7 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFra
 def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: UtilizationRules) -> DataFrame:
     """Run-rate over last quarter's installed count, per system and quarter."""
     region = tables["account"].where(F.col("clinicalregion") == params.region).select("accountguid")
-    systems = with_validity(tables["installbase"].join(region, "accountguid", "left_semi"), rules)
+    systems = merged_systems(tables["installbase"], rules).join(region, "accountguid", "left_semi")
     first, last = rules.first_year * 4, rules.last_year * 4 + 3
     keys = ["accountguid", "name", "quarter_index"]
 

@@ -199,6 +199,11 @@ def test_sheet_to_total(spark):
         ("DRG", 2019, "A010", "one", 0, 1235), ("DRG", 2019, "A010", "two", 0, 1235),
         ("DRG", 2020, "A010", "one", 0, 2), ("DRG", 2020, "A010", "two", 0, 2),
     ]
+    unlisted = record.unionByName(spark.createDataFrame([("g", "B999 m", "n/a", "n/a")], record.schema))
+    assert rows(market.counts_from_sheet(unlisted, codes)) == rows(sheet)
+    listed = record.unionByName(spark.createDataFrame([("g", "A010 m", "n/a", "1")], record.schema))
+    with pytest.raises(Exception, match="no number: n/a"):
+        market.counts_from_sheet(listed, codes).collect()
     other = spark.createDataFrame([("HIRA", 2019, "A010", "one", 7), ("HIRA", 2019, None, "one", 9)], "Source string, Year int, Code string, DRG_Name string, HIRA_Patients long")
     total = market.market_total(other, sheet)
     assert ("HIRA", 2019, "A010", "one", 7, 0, 7) in rows(total) and total.count() == 5

@@ -25,7 +25,7 @@ from fieldstats.operators.snapshot import latest_rows
 from fieldstats.operators.spine import activity_spine, calendar_spine, fill_gaps
 from fieldstats.operators.tiers import DETAILED_TIERS, MODEL_TIERS, POPULATION_TIERS, activity_tier, volume_tier
 from fieldstats.plans.events import product_mix
-from fieldstats.plans.utilization import installed_by_quarter, with_validity
+from fieldstats.plans.utilization import installed_by_quarter, merged_systems, with_validity
 from fieldstats.sources.readers import read_table
 from workload.bindings import PARAMS, SourceTables, as_ctes
 from workload.common import order_day, ship_day, AS_OF, NEXT_QUARTER, QUARTER_FIRST, REGION, bins, key_of, rounded
@@ -457,8 +457,8 @@ def q_year_before_anchor(spark, sf_dir):
 def q_validity_join(spark, sf_dir):
     tables = SourceTables(spark, sf_dir)
     region = tables["account"].where(F.col("clinicalregion") == PARAMS.region).select("accountguid")
-    systems = tables["installbase"].join(region, "accountguid", "left_semi")
-    return installed_by_quarter(with_validity(systems, UTILIZATION), UTILIZATION)
+    systems = merged_systems(tables["installbase"], UTILIZATION).join(region, "accountguid", "left_semi")
+    return installed_by_quarter(systems, UTILIZATION)
 
 
 @query(
@@ -513,8 +513,11 @@ select accountguid, cast(sum(totalvolume) as bigint) as total from (select disti
 def q_latest_snapshot(spark, sf_dir):
     tables = SourceTables(spark, sf_dir)
     region = tables["account"].where(F.col("capitalregion") == PARAMS.region).select("accountguid")
-    volumes = tables["third_party_volume"].join(region, "accountguid", "left_semi")
-    return latest_rows(volumes, "date").distinct().groupBy("accountguid").agg(F.sum("totalvolume").alias("total"))
+    volumes = tables["third_party_volume"]
+    newest = volumes.groupBy("accountguid").agg(F.max("date").alias("date")).join(region, "accountguid", "left_semi")
+    latest = latest_rows(volumes, "date", scope=newest).distinct()
+    summed = latest.groupBy("accountguid").agg(F.sum("totalvolume").alias("total"))
+    return summed.join(region, "accountguid", "left_semi")
 
 
 @query(
