@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,45 +44,6 @@ def count_year_before(
     return anchors.join(counted, same, "left").drop("__key", "__anchor")
 
 
-def count_open_intervals(
-    intervals: DataFrame,
-    keys: Sequence[str],
-    start: str,
-    end: str,
-    first_index: int,
-    last_index: int,
-    label: str | None = None,
-    weight: str | None = None,
-) -> DataFrame:
-    """Per key and quarter, how many ``[start, end)`` intervals are open.
-
-    ``start`` and ``end`` are quarter indexes; a NULL start never opens, a NULL
-    end never closes. Equal intervals are counted once before they are spread
-    over quarters; ``weight`` names a column with the number of intervals a row
-    stands for. With ``label``, the distinct labels come back as a sorted list,
-    last first.
-    """
-    low = F.greatest(F.col(start), F.lit(first_index))
-    high = F.least(F.coalesce(F.col(end) - 1, F.lit(last_index)), F.lit(last_index))
-    extra = [label] if label else []
-    number = F.col(weight) if weight else F.lit(1)
-    same = (
-        intervals.where(F.col(start).isNotNull())
-        .select(*keys, *extra, low.alias("__low"), high.alias("__high"), number.alias("__number"))
-        .where("__low <= __high")
-        .groupBy(*keys, *extra, "__low", "__high")
-        .agg(F.sum("__number").alias("__n"))
-    )
-    spread = same.withColumn("quarter_index", F.explode(F.sequence("__low", "__high")))
-    per_label = spread.groupBy(*keys, *extra, "quarter_index").agg(F.sum("__n").alias("n_open"))
-    if not label:
-        return per_label
-    labels = F.array_join(F.sort_array(F.collect_list(F.col(label)), asc=False), ", ")
-    return per_label.groupBy(*keys, "quarter_index").agg(
-        F.sum("n_open").alias("n_open"), labels.alias("combination")
-    )
-
-
 def as_prior_period(df: DataFrame, index: str, renames: dict[str, str]) -> DataFrame:
     """The same rows dated one period later, to be joined as "previous period"."""
     shifted = df.withColumn(index, F.col(index) + 1)

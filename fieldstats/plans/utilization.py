@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldstats.functions.dates import quarter_index, quarter_key
 from fieldstats.operators.lookup import override_table, with_overrides
-from fieldstats.operators.ranges import as_prior_period, count_open_intervals
+from fieldstats.operators.ranges import as_prior_period
 from fieldstats.operators.spine import calendar_spine
 from fieldstats.params import JobParams
 
@@ -68,72 +68,101 @@ def with_validity(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
     )
 
 
-def merged_systems(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
-    """Equal system rows as one, with their number in ``n_rows``."""
-    return (
-        with_validity(systems, rules)
+def systems_by_account(installbase: DataFrame, accounts: DataFrame, rules: UtilizationRules) -> DataFrame:
+    """One row per account and system name with its system rows in an array.
+
+    Equal rows are merged first, with their number in ``n_rows``, so an array holds
+    each combination of names, model and quarters once, however many rows a key has.
+    """
+    countable = (
+        (F.col("type") == "System") & (F.col("systemuse") == "OR") & ~F.col("model").isin(list(rules.uncounted_models))
+    )
+    merged = (
+        with_validity(installbase, rules)
+        .withColumn("countable", F.coalesce(countable, F.lit(False)))
         .groupBy(
-            "accountguid",
-            "accountname",
-            "name",
-            "model",
-            "type",
-            "systemuse",
-            "start_quarter",
-            "start_index",
-            "end_index",
+            "accountguid", "name", "accountname", "model", "start_quarter", "start_index", "end_index", "countable"
         )
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    fields = [c for c in merged.columns if c not in ("accountguid", "name")]
+    grouped = merged.groupBy("accountguid", "name").agg(F.collect_list(F.struct(*fields)).alias("systems"))
+    return grouped.join(accounts, "accountguid", "left_semi").withColumn(
+        "listed", F.array_distinct(F.transform("systems", lambda r: F.struct(r["accountname"], r["model"])))
+    )
+
+
+def _open_rows(quarter: Column) -> Column:
+    return F.filter(
+        "systems",
+        lambda r: r["countable"]
+        & (r["start_index"] <= quarter)
+        & (r["end_index"].isNull() | (quarter < r["end_index"])),
+    )
+
+
+def _open_count(quarter: Column) -> Column:
+    return F.aggregate(_open_rows(quarter), F.lit(0).cast("bigint"), lambda n, r: n + r["n_rows"])
+
+
+def _names_listed_with(model: Column) -> Column:
+    return F.size(F.filter("listed", lambda item: item["model"].eqNullSafe(model)))
 
 
 def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
     """Installed systems per account, system and quarter, with fleet flag and models.
 
-    ``systems`` are merged rows. Every listed account name of a system counts its
-    rows once more, as the distinct listing does.
+    A system is installed from its start quarter up to before its end quarter. Every
+    account name listed for a model counts the rows once more, as the distinct
+    listing does.
     """
-    keys = ["accountguid", "name"]
-    open_rows = (F.col("type") == "System") & (F.col("systemuse") == "OR") & ~F.col("model").isin(
-        list(rules.uncounted_models)
-    )
-    first, last = rules.first_year * 4, rules.last_year * 4 + 3
-    counted = count_open_intervals(
-        systems.where(open_rows), keys, "start_index", "end_index", first, last, label="model", weight="n_rows"
-    )
-    listed = (
-        systems.select(*keys, "accountname", F.col("model").alias("system_model"))
-        .distinct()
-        .groupBy(*keys, "system_model")
-        .agg(F.count(F.lit(1)).alias("__names"))
-    )
-    number = F.col("n_open") * F.col("__names")
-    return counted.join(listed, keys).select(
-        *keys,
-        "system_model",
-        "quarter_index",
-        number.alias("number_of_ib"),
-        F.when(number > 1, "Fleet").otherwise("Others").alias("fleet_or_not"),
-        "combination",
+    quarter = F.col("quarter_index")
+    spine = calendar_spine(systems, rules.first_year * 4, rules.last_year * 4 + 3)
+    models = F.array_distinct(F.transform(_open_rows(quarter), lambda r: r["model"]))
+    listed_models = F.array_distinct(F.transform("listed", lambda item: item["model"]))
+    number = _open_count(quarter) * _names_listed_with(F.col("system_model"))
+    return (
+        spine.withColumn("combination", F.array_join(F.sort_array(models, asc=False), ", "))
+        .where(_open_count(quarter) > 0)
+        .withColumn("system_model", F.explode(listed_models))
+        .select(
+            "accountguid",
+            "name",
+            "system_model",
+            "quarter_index",
+            number.alias("number_of_ib"),
+            F.when(number > 1, "Fleet").otherwise("Others").alias("fleet_or_not"),
+            "combination",
+        )
     )
 
 
 def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: UtilizationRules) -> DataFrame:
-    """Run-rate over last quarter's installed count, per system and quarter."""
+    """Run-rate over last quarter's installed count, per system and quarter.
+
+    The system rows are read once: start labels and the counts of this and the last
+    quarter come out of each key's array, so only the run-rates are joined.
+    """
     region = tables["account"].where(F.col("clinicalregion") == params.region).select("accountguid")
-    systems = merged_systems(tables["installbase"], rules).join(region, "accountguid", "left_semi")
+    systems = systems_by_account(tables["installbase"], region, rules)
     first, last = rules.first_year * 4, rules.last_year * 4 + 3
     keys = ["accountguid", "name", "quarter_index"]
-
-    entities = (
-        systems.where(~F.col("model").isin(list(rules.hidden_models)))
-        .select("accountguid", "accountname", "name", "model")
-        .distinct()
+    quarter = F.col("quarter_index")
+
+    def installed(at: Column) -> Column:
+        """The distinct counts over the listed models; none where nothing is installed."""
+        names = F.array_distinct(F.transform("listed", lambda item: _names_listed_with(item["model"])))
+        return F.when((at >= first) & (_open_count(at) > 0), F.transform(names, lambda n: n * _open_count(at)))
+
+    spine = (
+        calendar_spine(systems, first, last)
+        .withColumn("CQ_IB", F.explode_outer(installed(quarter)))
+        .withColumn("PQ_IB", F.explode_outer(installed(quarter - 1)))
+        .withColumn("starts", F.array_distinct(F.transform("systems", lambda r: r["start_quarter"])))
+        .select(*keys, "quarter", "CQ_IB", "PQ_IB", "starts", F.explode("listed").alias("item"))
+        .select(*keys, "quarter", "CQ_IB", "PQ_IB", "item.*", F.explode("starts").alias("InstalldateQ"))
+        .where(~F.col("model").isin(list(rules.hidden_models)))
     )
-    dates = systems.select("accountguid", "name", F.col("start_quarter").alias("InstalldateQ")).distinct()
-    spine = calendar_spine(entities.join(dates, ["accountguid", "name"], "left"), first, last)
-
-    installed = installed_by_quarter(systems, rules).select(*keys, "number_of_ib").distinct()
     active = (
         tables["procedure_summary"]
         .where(F.col("clinicalregion") == params.region)
@@ -147,18 +176,15 @@ def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: Utili
         .select(*keys, "n_active", "run_rate")
         .distinct()
     )
-    rows = (
-        spine.join(active.withColumnsRenamed({"n_active": "CQ_AS", "run_rate": "CQ_RR"}), keys, "left")
-        .join(installed.withColumnRenamed("number_of_ib", "CQ_IB"), keys, "left")
-        .join(as_prior_period(installed, "quarter_index", {"number_of_ib": "PQ_IB"}), keys, "left")
-        .join(as_prior_period(active, "quarter_index", {"n_active": "PQ_AS", "run_rate": "PQ_RR"}), keys, "left")
+    rows = spine.join(active.withColumnsRenamed({"n_active": "CQ_AS", "run_rate": "CQ_RR"}), keys, "left").join(
+        as_prior_period(active, "quarter_index", {"n_active": "PQ_AS", "run_rate": "PQ_RR"}), keys, "left"
     )
     ratio = F.try_divide("CQ_RR", F.coalesce("PQ_IB", F.lit(1)))
     return rows.select(
         "quarter",
         "accountguid",
         "accountname",
-        F.col("quarter_index").alias("CURRENT_QUARTER_FLAG"),
+        quarter.alias("CURRENT_QUARTER_FLAG"),
         F.col("name").alias("SystemName"),
         F.col("model").alias("SystemModel"),
         "InstalldateQ",

@@ -162,6 +162,29 @@ def test_validity_of_systems(spark):
     ]
 
 
+def test_installed_systems_match_brute_force(spark):
+    """Equal rows, open ends, empty intervals, several names and models per system."""
+    def first(q):
+        return date(q // 4, q % 4 * 3 + 1, 1)
+
+    data = [("n", "X", 8002, 8005), ("n", "X", 8002, 8005), ("n", "A", 8003, None), ("n", "Z", None, None), ("n", "E", 8004, 8004), ("m", "X", 8001, 8003)]
+    systems = spark.createDataFrame(
+        [(1, "id", a, "s", m, "System", "OR", False, None if s is None else first(s), None if e is None else first(e), None, None) for a, m, s, e in data],
+        "accountguid int, accountid string, accountname string, name string, model string, type string, systemuse string, inactive boolean, "
+        "financeinstalleddate date, financedeinstalleddate date, installdate date, removedate date",
+    )
+    rules = utilization.UtilizationRules(first_year=2000, last_year=2001)
+    accounts = spark.createDataFrame([(1,)], "accountguid int")
+    got = rows(utilization.installed_by_quarter(utilization.systems_by_account(systems, accounts, rules), rules).drop("accountguid", "name"))
+    want = []
+    for q in range(8000, 8008):
+        found = [m for _, m, s, e in data if s is not None and s <= q and (e is None or q < e)]
+        for model in {m for _, m, _, _ in data} if found else ():
+            n = len(found) * len({a for a, m, _, _ in data if m == model})
+            want.append((model, q, n, "Fleet" if n > 1 else "Others", ", ".join(sorted(set(found), reverse=True))))
+    assert got == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r]) and want
+
+
 BODIES = [
     (2019, "C1", '{"response":{"body":{"items":{"item":[{"diagCdNm":"계","ptntCnt":"12"},{"diagCdNm":"x","ptntCnt":9}]}}}}'),
     (2019, "C1", '{"response":{"body":{"items":{"item":{"diagCdNm":"계","ptntCnt":3}}}}}'),

@@ -81,18 +81,6 @@ def test_year_before_anchor_limits(spark):
     assert got == [("a", 1, 2), ("a", 2, 2), ("b", 3, 0), ("c", 4, 0)]
 
 
-def test_open_intervals_match_brute_force(spark):
-    data = [("k", 3, 6, "X"), ("k", 3, 6, "X"), ("k", 4, None, "A"), ("k", None, None, "Z"), ("k", 5, 5, "E"), ("k", -9, 2, "O"), ("m", 90, None, "L")]
-    frame = spark.createDataFrame(data, "k string, s int, e int, m string")
-    got = rows(ranges.count_open_intervals(frame, ["k"], "s", "e", 0, 8, label="m"))
-    want = []
-    for q in range(9):
-        is_open = [m for k, s, e, m in data if k == "k" and s is not None and s <= q and (e is None or q < e)]
-        if is_open:
-            want.append(("k", q, len(is_open), ", ".join(sorted(set(is_open), reverse=True))))
-    assert got == want
-
-
 def test_pivots_null_zero_and_total(spark):
     frame = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "y", 3), ("b", None, 4)], "k string, c string, v int")
     conditions = {"xs": F.col("c") == "x", "ys": F.col("c") == "y"}

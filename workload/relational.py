@@ -16,7 +16,6 @@ from fieldstats.operators.lookup import cross_one_row, drop_members, keep_member
 from fieldstats.operators.pivots import counts_where, firsts_where, sums_where
 from fieldstats.operators.ranges import (
     as_prior_period,
-    count_open_intervals,
     count_year_before,
     trailing_sum,
 )
@@ -25,7 +24,7 @@ from fieldstats.operators.snapshot import latest_rows
 from fieldstats.operators.spine import activity_spine, calendar_spine, fill_gaps
 from fieldstats.operators.tiers import DETAILED_TIERS, MODEL_TIERS, POPULATION_TIERS, activity_tier, volume_tier
 from fieldstats.plans.events import product_mix
-from fieldstats.plans.utilization import installed_by_quarter, merged_systems, with_validity
+from fieldstats.plans.utilization import installed_by_quarter, systems_by_account, with_validity
 from fieldstats.sources.readers import read_table
 from workload.bindings import PARAMS, SourceTables, as_ctes
 from workload.common import order_day, ship_day, AS_OF, NEXT_QUARTER, QUARTER_FIRST, REGION, bins, key_of, rounded
@@ -457,8 +456,7 @@ def q_year_before_anchor(spark, sf_dir):
 def q_validity_join(spark, sf_dir):
     tables = SourceTables(spark, sf_dir)
     region = tables["account"].where(F.col("clinicalregion") == PARAMS.region).select("accountguid")
-    systems = merged_systems(tables["installbase"], UTILIZATION).join(region, "accountguid", "left_semi")
-    return installed_by_quarter(systems, UTILIZATION)
+    return installed_by_quarter(systems_by_account(tables["installbase"], region, UTILIZATION), UTILIZATION)
 
 
 @query(
