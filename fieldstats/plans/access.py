@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstats.operators.lists import distinct_lists
@@ -21,35 +20,54 @@ SUBORDINATES = {
 }
 
 
-def _joined(level: str) -> F.Column:
-    parts = [F.coalesce(F.col(f"{level}_{role}"), F.lit("")) for role in SUBORDINATES[level]]
-    return F.concat_ws(", ", *parts)
+LISTS = max(len(roles) for roles in SUBORDINATES.values())
 
 
-def role_lists(tables: Mapping[str, DataFrame], params: JobParams) -> dict[str, DataFrame]:
-    """Per leading role, its members with the ordered lists of their subordinates."""
+def role_lists(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame:
+    """One row per leading role and member: ``level``, ``role_key`` and the array ``lists``.
+
+    All levels come from one pass over the team rows. The key holds level and member
+    in one text, so each of the four lookups reads the same frame and Spark computes
+    it once.
+    """
     accounts = tables["account"].where(
         (F.col("recordtype") == params.record_type) & (F.col("capitalregion") == params.region)
     )
     team = tables["account_team"].join(accounts.select("accountguid"), "accountguid")
-    lists = {}
+    members = []
     for level, roles in SUBORDINATES.items():
-        key = f"{level}networkid"
-        members = team.where(F.col(key).isNotNull()).select(key, *[f"{r}networkid" for r in roles])
-        lists[level] = distinct_lists(members, [key], {f"{level}_{r}": f"{r}networkid" for r in roles})
-    return lists
+        listed = [F.col(f"{role}networkid") for role in roles] + [F.lit(None)] * (LISTS - len(roles))
+        members.append(
+            F.struct(
+                F.lit(level).alias("level"),
+                F.col(f"{level}networkid").cast("string").alias("member"),
+                *[c.cast("string").alias(f"list{i}") for i, c in enumerate(listed)],
+            )
+        )
+    rows = team.select(F.explode(F.array(*members)).alias("row")).select("row.*").where(F.col("member").isNotNull())
+    names = [f"list{i}" for i in range(LISTS)]
+    return distinct_lists(rows, ["level", "member"], {name: name for name in names}).select(
+        "level", F.concat_ws(":", "level", "member").alias("role_key"), F.array(*names).alias("lists")
+    )
 
 
-def everyone(lists: Mapping[str, DataFrame], separator: str = "") -> DataFrame:
+def _parts(level: str, lists: Column) -> list[Column]:
+    """The lists of a level; a missing one is an empty slot."""
+    return [F.coalesce(lists[i], F.lit("")) for i in range(len(SUBORDINATES[level]))]
+
+
+def everyone(lists: DataFrame, separator: str = "") -> DataFrame:
     """One row: the list of all role lists.
 
     Neighbouring lists run together unless a separator is given.
     """
-    levels = []
-    for level, frame in lists.items():
-        listed = _joined(level) if len(SUBORDINATES[level]) > 1 else F.col(f"{level}_{SUBORDINATES[level][0]}")
-        levels.append(distinct_lists(frame.select(listed.alias("listed")), [], {"listed": "listed"}, separator))
-    return distinct_lists(reduce(DataFrame.union, levels), [], {"ALLUSERS": "listed"}, separator)
+    listed = F.col("lists")[0]
+    for level, roles in SUBORDINATES.items():
+        if len(roles) > 1:
+            whole = F.concat_ws(", ", *_parts(level, F.col("lists")))
+            listed = F.when(F.col("level") == level, whole).otherwise(listed)
+    per_level = distinct_lists(lists.select("level", listed.alias("listed")), ["level"], {"listed": "listed"}, separator)
+    return distinct_lists(per_level, [], {"ALLUSERS": "listed"}, separator)
 
 
 def access_list(tables: Mapping[str, DataFrame], params: JobParams, separator: str = "") -> DataFrame:
@@ -58,11 +76,12 @@ def access_list(tables: Mapping[str, DataFrame], params: JobParams, separator: s
     accounts = tables["account"].where(F.col("recordtype") == params.record_type)
     team = tables["account_team"].select("accountguid", *[f"{level}networkid" for level in SUBORDINATES])
     rows = accounts.select("accountid", "accountguid").join(team, "accountguid", "left")
-    for level, frame in lists.items():
-        rows = rows.join(frame, f"{level}networkid", "left")
-    parts = [
-        F.coalesce(F.col(f"{level}_{role}"), F.lit("")) for level, roles in SUBORDINATES.items() for role in roles
-    ]
+    parts = []
+    for level in SUBORDINATES:
+        found = lists.select(F.col("role_key").alias(f"{level}_key"), F.col("lists").alias(f"{level}_lists"))
+        key = F.concat(F.lit(f"{level}:"), F.col(f"{level}networkid"))
+        rows = rows.join(found, key == F.col(f"{level}_key"), "left")
+        parts += _parts(level, F.col(f"{level}_lists"))
     rows = cross_one_row(rows, everyone(lists, separator))
     return rows.select("accountid", "accountguid", "ALLUSERS", F.concat_ws(", ", *parts).alias("WHOCANACCESS"))
 
