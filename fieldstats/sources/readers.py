@@ -14,6 +14,8 @@ _ENVELOPE = T.StructType().add(
 )
 _ITEMS = T.ArrayType(T.StructType().add("diagCdNm", "string").add("ptntCnt", "string"))
 TOTAL_CLASS = "계"
+# Headers of code and name in the code-map sheet.
+CODE_MAP_COLUMNS = ("질병군분류(2)", "DRG(포괄수가제 행위 코드)")
 
 
 _schemas: dict[str, T.StructType] = {}
@@ -48,6 +50,12 @@ def matching_codes(sheet: DataFrame) -> DataFrame:
     )
 
 
+def code_map(sheet: DataFrame, columns: tuple[str, str] = CODE_MAP_COLUMNS) -> DataFrame:
+    """(code, name) of a code-map sheet, from two named columns."""
+    code, name = columns
+    return sheet.select(F.col(f"`{code}`").alias("code"), F.col(f"`{name}`").alias("name"))
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses, one JSON line each: ``{"year", "code", "body"}``."""
     return spark.read.schema("year int, code string, body string").json(path)
