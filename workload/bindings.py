@@ -243,14 +243,20 @@ class SourceTables(Mapping):
     def __init__(self, spark: SparkSession, folder: str, names: dict[str, str] | None = None):
         self._spark, self._folder = spark, folder
         self._names = names or {}
+        self._given: dict[str, DataFrame] = {}
+        self._shaped: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return read_table(self._spark, self._folder, name)
+        if name not in self._given:
+            self._given[name] = read_table(self._spark, self._folder, name)
+        return self._given[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        text = BINDINGS[self._names.get(name, name)]
-        frames = {given: self.given(given) for given in GIVEN if f"{{{given}}}" in text}
-        return self._spark.sql(text, **frames)
+        if name not in self._shaped:
+            text = BINDINGS[self._names.get(name, name)]
+            frames = {given: self.given(given) for given in GIVEN if f"{{{given}}}" in text}
+            self._shaped[name] = self._spark.sql(text, **frames)
+        return self._shaped[name]
 
     def __iter__(self):
         return iter(BINDINGS)
