@@ -68,9 +68,17 @@ def week_of_quarter(d: Column, quarter_first: Column) -> Column:
     return week_index(d) - week_index(quarter_first) + 1
 
 
+def _whole_minute(ts: Column) -> Column:
+    none = F.lit(0)
+    return ts - F.make_dt_interval(none, none, none, F.extract(F.lit("SECOND"), ts))
+
+
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minute boundaries crossed from ``start`` to ``end`` (may be negative)."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", start), F.date_trunc("minute", end))
+    """Minute boundaries crossed from ``start`` to ``end`` (may be negative).
+
+    Works on wall clocks as they are; the session's zone has no part in it.
+    """
+    return (_whole_minute(end) - _whole_minute(start)).cast("interval minute").cast("bigint")
 
 
 def shift_zone(ts: Column, source: str, target: str) -> Column:

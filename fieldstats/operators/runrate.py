@@ -15,7 +15,7 @@ def run_rate_calendar(spark: SparkSession, params: JobParams, holidays: DataFram
     date column). "So far" ends with the weekly cutoff.
     """
     last_day = F.date_sub(F.lit(params.next_quarter_first), 1)
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(params.quarter_first), last_day)).alias("day"))
+    days = spark.range(0, 1, 1, 1).select(F.explode(F.sequence(F.lit(params.quarter_first), last_day)).alias("day"))
     days = days.where(~F.dayofweek("day").isin(1, 7))
     if holidays is not None:
         closed = holidays.select(F.to_date(holidays.columns[0]).alias("__closed"))

@@ -150,11 +150,11 @@ def capital_events(tables: Mapping[str, DataFrame], params: JobParams, rules: Ev
     )
     tier = F.col("tiertype")
     green = F.col("greenfield")
-    segment = F.col("segmentlabel").like(rules.segment_pattern)
+    segment = F.col("japancustomersegment").like(rules.segment_pattern)
     accounts = (
         tables["account"]
         .where(F.col("capitalregion") == params.region)
-        .select("accountguid", "accountname", "customertype", "tiertype", "segmentlabel")
+        .select("accountguid", "accountname", "customertype", "tiertype", "japancustomersegment")
     )
     # opportunity, account and line items first: each event then takes one join for them
     opportunities = (

@@ -62,7 +62,7 @@ def base_accounts(tables: Mapping[str, DataFrame], params: JobParams, rules: Sco
             "accountguid",
             "left",
         )
-        .join(tables["tier_lookup"].select("accountid", "tiersegmentation"), "accountid", "left")
+        .join(tables["tier_lookup"].select("accountid", "tiersegmentaion"), "accountid", "left")
         .select(
             "accountguid",
             F.col("accountid").alias("AccountID"),
@@ -78,8 +78,8 @@ def base_accounts(tables: Mapping[str, DataFrame], params: JobParams, rules: Sco
             F.col("parentaccountname").alias("IDN"),
             F.col("customersegmentation").alias("CUSTOMERSEGMENTATION"),
             label.alias("Tier 1"),
-            "tiersegmentation",
-            F.when(F.col("segmentlabel").like(rules.segment_pattern), "Top 200")
+            "tiersegmentaion",
+            F.when(F.col("japancustomersegment").like(rules.segment_pattern), "Top 200")
             .otherwise("Non-Top 200")
             .alias("Top 200"),
         )
@@ -291,10 +291,12 @@ def before_last_install(tables: Mapping[str, DataFrame], rules: ScorecardRules)
     systems = tables["installbase"].select(
         F.col("name").alias("systemserialnumbercpq"), "accountguid", "financeinstalleddate", "model"
     ).distinct()
+    # stated here, so that both uses of the items below are the same plan and run once
+    owned = tables["opportunity"].where(F.col("accountguid").isNotNull())
     category = F.when(F.col("greenfield"), F.lit(rules.greenfield_label)).otherwise(F.col("dealtype"))
     items = (
         lines.select("opportunityid", "systemserialnumbercpq", "dealtype")
-        .join(tables["opportunity"].select("opportunityid", "accountguid", "greenfield"), "opportunityid")
+        .join(owned.select("opportunityid", "accountguid", "greenfield"), "opportunityid")
         .select("accountguid", "systemserialnumbercpq", category.alias("category"))
         .distinct()
         .join(systems, ["systemserialnumbercpq", "accountguid"], "left")
@@ -363,7 +365,7 @@ def account_scorecard(
         "IDN",
         "CUSTOMERSEGMENTATION",
         "Tier 1",
-        "tiersegmentation",
+        "tiersegmentaion",
         "Top 200",
         "MinCloseDate",
         quarter_key(F.col("MinCloseDate")).alias("Pipeline Quarter (Nearest)"),

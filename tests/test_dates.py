@@ -78,6 +78,16 @@ def test_minutes_count_boundaries(spark):
     assert [r[0] for r in rows(frame.select(d.minutes_between(F.col("a"), F.col("b"))))] == [-121, 0, 1]
 
 
+def test_minutes_ignore_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # clocks go forward that night
+        frame = spark.sql("select timestamp_ntz '2001-04-01 01:30:00' a, timestamp_ntz '2001-04-01 03:30:10.5' b")
+        assert frame.select(d.minutes_between(F.col("a"), F.col("b"))).first()[0] == 120
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_zone_shift(spark):
     ts = datetime(2024, 1, 1, 20, 0)
     frame = spark.createDataFrame([(ts,)], "ts timestamp_ntz")

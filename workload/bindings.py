@@ -53,7 +53,7 @@ BINDINGS = {
   case when c_acctbal >= 6000 then 'Tier 1' when c_acctbal >= 2000 then 'Tier 2'
        when c_acctbal >= 0 then 'Tier 3' end as tiertype,
   case when c_acctbal >= 0 then c_acctbal >= 6000 end as tier1,
-  case when c_custkey % 7 = 0 then c_mktsegment || ' Top 300' else c_mktsegment end as segmentlabel,
+  case when c_custkey % 7 = 0 then c_mktsegment || ' Top 300' else c_mktsegment end as japancustomersegment,
   r_name || ' group' as parentaccountname, n_name as endcustomerstateprovince,
   r_name as endcustomercountry, 'KAD ' || n_name as keycustomerdirectoridn, {_TEAM}
 from {_CUSTOMER}""",
@@ -194,7 +194,7 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey""",
   cast(floor(o_totalprice) as bigint) as totalvolume,
   cast(date_trunc('year', o_orderdate) as date) as date
 from {orders}""",
-    "tier_lookup": """select 'AC-' || cast(c_custkey as string) as accountid, 'Seg ' || c_mktsegment as tiersegmentation
+    "tier_lookup": """select 'AC-' || cast(c_custkey as string) as accountid, 'Seg ' || c_mktsegment as tiersegmentaion
 from {customer} where c_acctbal > 1000""",
     "app_user": """select s_suppkey as sk_user_id, 'S-' || cast(s_suppkey as string) as sfdc_contact_id,
   s_suppkey as uma_user_id, s_name as contact_name, n_name as surgeon_specialty,

@@ -15,18 +15,20 @@ from workload.registry import query
 
 # Each event becomes one landed response: its total row with another class row, or a
 # single object, or a total without a count, or a body without items.
-RESPONSES = """select cast(2019 + event_id % 6 as int) as year, 'C' || cast(user_id % 20 as string) as code,
-  case when value < 1 then '{"response":{"body":{}}}'
+BODY = """case when value < 1 then '{"response":{"body":{}}}'
     when event_type = 'error' then '{"response":{"body":{"items":{"item":{"diagCdNm":"계","ptntCnt":' || k || '}}}}}'
     when event_type = 'signup' then '{"response":{"body":{"items":{"item":[{"diagCdNm":"계"}]}}}}'
     else '{"response":{"body":{"items":{"item":[{"diagCdNm":"계","ptntCnt":"' || k || '"},{"diagCdNm":"x","ptntCnt":5}]}}}}'
-  end as body
-from (select *, regexp_extract(props, '([0-9]+)', 1) as k from EVENTS) e"""
+  end"""
 
 
 def responses(spark, sf_dir) -> DataFrame:
-    read_table(spark, sf_dir, "events").createOrReplaceTempView("landed_events")
-    return spark.sql(RESPONSES.replace("EVENTS", "landed_events"))
+    events = read_table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", "([0-9]+)", 1))
+    return events.select(
+        (F.col("event_id") % 6 + 2019).cast("int").alias("year"),
+        F.concat(F.lit("C"), F.col("user_id") % 20).alias("code"),
+        F.expr(BODY).alias("body"),
+    )
 
 
 def code_sheet(spark, sf_dir) -> DataFrame:

@@ -220,7 +220,7 @@ def q_tier_bins(spark, sf_dir):
     "label_case",
     f"""{as_ctes("account")} select accountguid, case when tier1 = true then 'Tier 1' when tier1 = false then 'Non-Tier 1' end as tier_label,
   case when tiertype = 'Tier 1' then 'Tier 1' when tiertype = 'Tier 2' then 'Tier 2' else 'Others' end as tier_group,
-  case when segmentlabel like '%Top 300%' then 'Top 200' else 'Non-Top 200' end as segment,
+  case when japancustomersegment like '%Top 300%' then 'Top 200' else 'Non-Top 200' end as segment,
   case when tiertype <> 'Tier 1' and recordtype = 'Hospital' then 'open' when tiertype = 'Tier 1' then 'held'
     else 'Others' end as decision from account""",
 )
@@ -230,7 +230,7 @@ def q_label_case(spark, sf_dir):
         "accountguid",
         F.when(F.col("tier1"), "Tier 1").when(~F.col("tier1"), "Non-Tier 1").alias("tier_label"),
         F.when(tier.isin("Tier 1", "Tier 2"), tier).otherwise("Others").alias("tier_group"),
-        first_like(F.col("segmentlabel"), [("%Top 300%", "Top 200")], "Non-Top 200").alias("segment"),
+        first_like(F.col("japancustomersegment"), [("%Top 300%", "Top 200")], "Non-Top 200").alias("segment"),
         F.when((tier != "Tier 1") & (F.col("recordtype") == "Hospital"), "open")
         .when(tier == "Tier 1", "held")
         .otherwise("Others")
