@@ -14,8 +14,16 @@ def evenly_sized(df: DataFrame) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, source: str = "parquet") -> None:
-    """Replace a catalog table with the result."""
-    df.write.format(source).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    """Replace a catalog table with the result.
+
+    The result is written beside the table and takes its name when it is complete,
+    so a run that fails leaves the old table as it was.
+    """
+    spark, staging = df.sparkSession, f"{name}__new"
+    spark.sql(f"drop table if exists {staging}")
+    df.write.format(source).saveAsTable(staging)
+    spark.sql(f"drop table if exists {name}")
+    spark.sql(f"alter table {staging} rename to {name}")
 
 
 def replace_folder(df: DataFrame, path: str) -> None:

@@ -257,7 +257,11 @@ def test_sinks(spark, tmp_path):
     sinks.replace_table(one, "fieldstats_sink_check")
     sinks.replace_table(two.withColumn("more", F.lit(1)), "fieldstats_sink_check")
     assert spark.table("fieldstats_sink_check").columns == ["id", "more"]
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_table(one.select(F.raise_error(F.lit("broken")).alias("id")), "fieldstats_sink_check")
+    assert spark.table("fieldstats_sink_check").count() == 5  # a failed run leaves the table as it was
     spark.sql("drop table fieldstats_sink_check")
+    spark.sql("drop table if exists fieldstats_sink_check__new")
 
 
 def test_scratch_folders_are_fresh(spark):

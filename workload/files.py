@@ -26,38 +26,38 @@ def responses(spark, sf_dir) -> DataFrame:
     events = read_table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", "([0-9]+)", 1))
     return events.select(
         (F.col("event_id") % 6 + 2019).cast("int").alias("year"),
-        F.concat(F.lit("C"), F.col("user_id") % 20).alias("code"),
+        F.concat(F.lit("C"), F.col("user_id")).alias("code"),
         F.expr(BODY).alias("body"),
     )
 
 
 def code_sheet(spark, sf_dir) -> DataFrame:
-    """Matching codes of all users; codes C0..C4 are not listed."""
-    events = read_table(spark, sf_dir, "events")
-    number = F.col("user_id") % 20
-    sheet = events.where(number > 4).select(
-        F.lit("x").alias("No"),
-        F.concat(F.lit("C"), number).alias("St5 Code"),
-        F.concat(F.lit("Subject "), number).alias("Subject Name"),
+    """Matching codes of the customers of four segments; the fifth is not listed."""
+    listed = read_table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'")
+    return matching_codes(
+        listed.select(
+            F.col("c_mktsegment").alias("No"),
+            F.concat(F.lit("C"), F.col("c_custkey")).alias("St5 Code"),
+            F.col("c_name").alias("Subject Name"),
+        )
     )
-    return matching_codes(sheet.distinct())
 
 
 @query(
     "json_flatten",
     """with e as (select *, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k from events where value >= 1)
-select cast(2019 + event_id % 6 as int) as year, 'C' || (user_id % 20) as code, '계' as class_name,
+select cast(2019 + event_id % 6 as int) as year, 'C' || user_id as code, '계' as class_name,
   case when event_type = 'signup' then 0 else k end as patients from e
-union all select cast(2019 + event_id % 6 as int), 'C' || (user_id % 20), 'x', 5 from e where event_type not in ('error', 'signup')""",
+union all select cast(2019 + event_id % 6 as int), 'C' || user_id, 'x', 5 from e where event_type not in ('error', 'signup')""",
 )
 def q_json_flatten(spark, sf_dir):
     return response_items(responses(spark, sf_dir))
 
 
-COUNTS_SQL = """select 'HIRA' as "Source", cast(2019 + event_id % 6 as int) as "Year", 'C' || (user_id % 20) as "Code",
-  'Subject ' || (user_id % 20) as "DRG_Name",
+COUNTS_SQL = """select 'HIRA' as "Source", cast(2019 + event_id % 6 as int) as "Year", 'C' || user_id as "Code",
+  c_name as "DRG_Name",
   cast(sum(case when event_type = 'signup' then 0 else cast(regexp_extract(props, '([0-9]+)', 1) as int) end) as bigint) as "HIRA_Patients"
-from events where value >= 1 and user_id % 20 > 4 group by 1, 2, 3, 4"""
+from events join customer on user_id = c_custkey where value >= 1 and c_mktsegment <> 'MACHINERY' group by 1, 2, 3, 4"""
 
 
 @query("market_json_counts", COUNTS_SQL)
@@ -74,8 +74,8 @@ def record_sheet(spark, sf_dir) -> DataFrame:
         read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     size = F.col("p_size")
-    code = F.concat(F.when(size % 9 == 0, "a").otherwise("A"), F.lpad(size.cast("string"), 3, "0"))
-    label = F.when(size % 10 == 0, F.concat(F.lit("소계 "), code)).otherwise(F.concat(code, F.lit(" "), F.col("p_brand")))
+    code = F.concat(F.when(size.between(9, 12), "a").otherwise("A"), F.lpad(size.cast("string"), 3, "0"))
+    label = F.when(size >= 38, F.concat(F.lit("소계 "), code)).otherwise(F.concat(code, F.lit(" "), F.col("p_brand")))
     counts = (
         shipped.withColumn("year", F.year("l_shipdate"))
         .groupBy(F.lit("row").alias("group"), label.alias("label"))
@@ -90,21 +90,21 @@ def record_sheet(spark, sf_dir) -> DataFrame:
 
 
 def code_map(spark, sf_dir) -> DataFrame:
-    """Codes of part sizes up to 40, untidy; size 12 is listed under two names."""
+    """Codes of part sizes up to 40, untidy; size 20 is listed under two names."""
     size = F.col("p_size")
     sizes = read_table(spark, sf_dir, "part").where(size <= 40).select("p_size").distinct()
     code = F.concat(F.lit(" a"), F.lpad(size.cast("string"), 3, "0"), F.lit(" "))
-    names = F.when(size == 12, F.array(F.lit("Size 12"), F.lit("Twelve"))).otherwise(F.array(F.concat(F.lit("Size "), size)))
+    names = F.when(size == 20, F.array(F.lit("Size 20"), F.lit("Twenty"))).otherwise(F.array(F.concat(F.lit("Size "), size)))
     return sizes.select(code.alias("code"), F.explode(names).alias("name"))
 
 
 SHEET_SQL = """select 'DRG' as "Source", y.y as "Year", 'A' || lpad(cast(p_size as varchar), 3, '0') as "Code", n.name as "DRG_Name",
   cast(0 as bigint) as "HIRA_Patients", cast(count(l_orderkey) * 37 as bigint) as "KOSIS_Patients"
-from (select distinct p_size from part where p_size <= 40 and p_size % 10 <> 0 and p_size % 9 <> 0
+from (select distinct p_size from part where p_size <= 40 and p_size < 38 and p_size not between 9 and 12
     and p_partkey in (select l_partkey from lineitem)) s
   cross join (select cast(unnest(range(1995, 2002)) as int) as y) y
   join (select distinct p_size as ps, 'Size ' || p_size as name from part
-    union all select distinct p_size, 'Twelve' from part where p_size = 12) n on n.ps = s.p_size
+    union all select distinct p_size, 'Twenty' from part where p_size = 20) n on n.ps = s.p_size
   left join (select l_orderkey, p_size as ls, year(l_shipdate) as ly from lineitem join part on l_partkey = p_partkey) l
     on l.ls = s.p_size and l.ly = y.y
 group by 1, 2, 3, 4"""

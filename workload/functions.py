@@ -291,11 +291,11 @@ def q_usage_rollup(spark, sf_dir):
     return page_usage(SourceTables(spark, sf_dir), USAGE)
 
 
-LABELS = """select p_partkey, case when p_size % 10 = 0 then '소계 ' || p_brand
-    when p_size % 7 = 0 then 'a' || lpad(cast(p_size as string), 3, '0') || ' ' || p_name
-    when p_size % 11 = 0 then null
+LABELS = """select p_partkey, case when p_size >= 45 then '소계 ' || p_brand
+    when p_size between 7 and 12 then 'a' || lpad(cast(p_size as string), 3, '0') || ' ' || p_name
+    when p_size = 13 then null
     else 'A' || lpad(cast(p_size as string), 3, '0') || ' ' || p_name end as label,
-  case when p_size % 5 = 0 then '-' else cast(p_size as string) || ',' || lpad(cast(p_partkey % 1000 as string), 3, '0') end as cell
+  case when p_size between 20 and 25 then '-' else cast(p_size as string) || ',' || lpad(cast(p_partkey % 1000 as string), 3, '0') end as cell
 from {part}"""
 
 
