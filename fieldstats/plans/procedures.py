@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstats.functions.dates import coalesced_in_range, quarter_key, week_index, week_of_quarter
+from fieldstats.functions.dates import coalesced_in_range, index_key, quarter_index, quarter_key, week_index, week_of_quarter
 from fieldstats.functions.text import in_class
 from fieldstats.operators.lookup import cross_one_row
 from fieldstats.operators.pivots import sums_where
@@ -189,7 +189,7 @@ def surgeon_volume(cases: DataFrame, params: JobParams, calendar: DataFrame) ->
     rounding of single weights can move a group over a limit.
     """
     running, earlier = case_periods(params, F.col("proceduredatelocal"), F.col("status"))
-    counted = cases.groupBy("surgeonguid", quarter_key(F.col("proceduredatelocal")).alias("quarter")).agg(
+    counted = cases.groupBy("surgeonguid", quarter_index(F.col("proceduredatelocal")).alias("quarter_index")).agg(
         F.count_distinct("recordid").alias("n_cases"),
         F.count(F.when(running, 1)).alias("n_running"),
         F.count(F.when(~running & earlier, 1)).alias("n_earlier"),
@@ -198,7 +198,7 @@ def surgeon_volume(cases: DataFrame, params: JobParams, calendar: DataFrame) ->
     volume = F.col("n_earlier") + F.when(F.col("n_running") > 0, so_far).otherwise(F.lit(0.0))
     return cross_one_row(counted, calendar).select(
         "surgeonguid",
-        "quarter",
+        "quarter_index",
         volume_tier(F.col("n_cases")).alias("by_cases"),
         volume_tier(volume).alias("by_volume"),
     )
@@ -221,7 +221,6 @@ def duration_population(
     hospitals = tables["account"].where(F.col("recordtype") == params.record_type)
     recent = tables["procedures"].where(F.col("proceduredatelocal") >= F.lit(params.history_first))
     volume = case_volume(params, F.col("proceduredatelocal"), F.col("status"))
-    quarter = quarter_key(F.col("proceduredatelocal"))
 
     tiers = surgeon_volume(
         recent.join(hospitals.select("accountguid"), "accountguid", "left_semi"),
@@ -249,8 +248,8 @@ def duration_population(
     system = tables["installbase"].select(
         "installbaseguid", "name", "model", "financeinstalleddate"
     )
-    rows = recent.withColumn("quarter", quarter).join(account, "accountguid")
-    rows = rows.join(tiers, ["surgeonguid", "quarter"], "left")
+    rows = recent.withColumn("quarter_index", quarter_index(F.col("proceduredatelocal"))).join(account, "accountguid")
+    rows = rows.join(tiers, ["surgeonguid", "quarter_index"], "left")
     rows = rows.join(contact, F.col("surgeonguid") == F.col("contactguid"), "left")
     rows = rows.join(system, F.col("installedbaseguid") == F.col("installbaseguid"), "left")
     rows = cross_one_row(rows, calendar)
@@ -266,7 +265,7 @@ def duration_population(
         minutes.alias("ProcedureMins"),
         (minutes / 60).alias("ProcedureHour"),
         F.col("proceduredatelocal").alias("ProcedureDateLocal"),
-        F.col("quarter").alias("Quarter"),
+        index_key(F.col("quarter_index")).alias("Quarter"),
         F.col("status").alias("Status"),
         F.col("fullname").alias("SurgeonName"),
         F.col("by_cases").alias("SurgeonPopulation"),
