@@ -29,13 +29,13 @@ from fieldstats.functions.text import (
     without_match,
 )
 from fieldstats.operators.lookup import cross_one_row
-from fieldstats.operators.runrate import case_volume, projected, run_rate_calendar
+from fieldstats.operators.runrate import projected, run_rate_calendar
 from fieldstats.plans.population import quarterly_activity
 from fieldstats.plans.procedures import prior_quarter_cohort
 from fieldstats.plans.usage import page_usage, prior_quarter_flag, two_quarters_prior_flag
 from fieldstats.sources.readers import read_table
 from workload.bindings import PARAMS, SourceTables, as_ctes
-from workload.common import order_day, AS_OF, CALENDAR, CUTOFF, PREVIOUS_QUARTER, QUARTER_FIRST, REGION, key_of, rounded
+from workload.common import order_day, AS_OF, CUTOFF, PREVIOUS_QUARTER, QUARTER_FIRST, REGION, key_of, rounded
 from workload.products import USAGE
 from workload.registry import query
 

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldstats.functions.dates import coalesced_in_range, index_key, quarter_index, quarter_key
+from fieldstats.functions.dates import coalesced_in_range, quarter_index, quarter_key
 from fieldstats.functions.text import first_like, in_class
-from fieldstats.operators.combine import concat_by_name, union_to_schema, wide_to_long
+from fieldstats.operators.combine import union_to_schema
 from fieldstats.operators.lists import distinct_lists
-from fieldstats.operators.lookup import cross_one_row, drop_members, keep_members, override_table, with_overrides
+from fieldstats.operators.lookup import cross_one_row, drop_members, keep_members
 from fieldstats.operators.pivots import counts_where, firsts_where, sums_where
 from fieldstats.operators.ranges import (
     as_prior_period,
@@ -27,7 +26,7 @@ from fieldstats.plans.events import product_mix
 from fieldstats.plans.utilization import installed_by_quarter, systems_by_account, with_validity
 from fieldstats.sources.readers import read_table
 from workload.bindings import PARAMS, SourceTables, as_ctes
-from workload.common import order_day, ship_day, AS_OF, NEXT_QUARTER, QUARTER_FIRST, REGION, bins, key_of, rounded
+from workload.common import order_day, ship_day, AS_OF, NEXT_QUARTER, QUARTER_FIRST, REGION, bins, key_of
 from workload.products import EVENTS, INSTALLED_SQL, LINES_SQL, START_SQL, UTILIZATION
 from workload.registry import query
 
