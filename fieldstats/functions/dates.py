@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +86,18 @@ def shift_zone(ts: Column, source: str, target: str) -> Column:
     return F.convert_timezone(F.lit(source), F.lit(target), ts)
 
 
+def near_range(ts: Column, low: date, high: date | None = None) -> Column:
+    """Timestamps from a day before ``low`` to a day after ``high``, on the bare column.
+
+    Zones differ by less than a day, so this holds wherever the shifted timestamp is in
+    the range; unlike that test it reaches the scan.
+    """
+    low_bound = F.lit(low - timedelta(days=1)).cast("timestamp_ntz")
+    if high is None:
+        return ts >= low_bound
+    return (ts >= low_bound) & (ts < F.lit(high + timedelta(days=1)).cast("timestamp_ntz"))
+
+
 def coalesced_in_range(first: Column, second: Column, low: date, high: date) -> Column:
     """``coalesce(first, second)`` in ``[low, high)``, in a form scans can push down."""
 

@@ -23,6 +23,11 @@ def extract_or_null(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at both ends, tabs, line breaks and no-break spaces included."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def leading_code(label: Column) -> Column:
     return F.upper(extract_or_null(label, CODE_PATTERN))
 

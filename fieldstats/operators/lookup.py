@@ -6,40 +6,28 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-UNBOUNDED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
-# Longest value list written into the plan as literals; longer ones are joined.
-LITERAL_LIST_LIMIT = 1000
 
 
 def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame (a global aggregate) to every row.
 
-    One row of numbers, flags and dates is a few bytes and is broadcast. Text has no
-    such bound, so there Spark chooses by size.
+    The row is always broadcast, whatever its columns hold: Spark takes a global
+    aggregate for a few bytes. The caller answers for the size of its text.
     """
-    fixed = all(not isinstance(f.dataType, UNBOUNDED) for f in one_row.schema.fields)
-    return df.crossJoin(F.broadcast(one_row) if fixed else one_row)
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def keep_members(df: DataFrame, column: str, values: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows whose column is one of the values (a short list or a one-column frame)."""
-    if isinstance(values, DataFrame):
-        names = values.select(F.col(values.columns[0]).alias("__value"))
-    elif len(values) > LITERAL_LIST_LIMIT:
-        spark = df.sparkSession
-        names = spark.createDataFrame([(v,) for v in values], df.select(column).schema).toDF("__value")
-    else:
+    """Rows whose column is one of the values: literals of any number, or a one-column frame to join."""
+    if not isinstance(values, DataFrame):
         return df.where(F.col(column).isin(list(values)))
+    names = values.select(F.col(values.columns[0]).alias("__value"))
     return df.join(names, F.col(column) == F.col("__value"), "left_semi")
 
 
 def drop_members(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose column is known and none of the values."""
-    if len(values) > LITERAL_LIST_LIMIT:
-        names = df.sparkSession.createDataFrame([(v,) for v in values], df.select(column).schema).toDF("__value")
-        return df.where(F.col(column).isNotNull()).join(names, F.col(column) == F.col("__value"), "left_anti")
+    """Rows whose column is known and none of the values; a NULL among the values keeps no row, as NOT IN has it."""
     return df.where(~F.col(column).isin(list(values)))
 
 

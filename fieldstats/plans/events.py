@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldstats.functions.dates import quarter_key, shift_zone
+from fieldstats.functions.dates import near_range, quarter_key, shift_zone
 from fieldstats.functions.text import first_like
 from fieldstats.operators.combine import union_to_schema
 from fieldstats.operators.lists import distinct_lists
@@ -145,6 +145,7 @@ def capital_events(tables: Mapping[str, DataFrame], params: JobParams, rules: Ev
     end = shift_zone(F.col("eventenddatetime"), params.source_zone, params.local_zone)
     events = tables["event"].where(
         (F.col("relatedobjecttype") == "Opportunity")
+        & near_range(F.col("eventenddatetime"), params.quarter_first, params.next_quarter_first)
         & (end >= F.lit(params.quarter_first).cast("timestamp_ntz"))
         & (end < F.lit(params.next_quarter_first).cast("timestamp_ntz"))
     )

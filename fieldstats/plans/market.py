@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldstats.functions.text import SUBTOTAL_PATTERN, leading_code, plain_integer, without_match
+from fieldstats.functions.text import SUBTOTAL_PATTERN, leading_code, plain_integer, stripped, without_match
 from fieldstats.operators.combine import concat_by_name, wide_to_long
 from fieldstats.sources.readers import TOTAL_CLASS, response_items
 
@@ -34,7 +34,7 @@ def counts_from_sheet(record: DataFrame, code_map: DataFrame) -> DataFrame:
     ``code_map`` holds code and name; a code listed twice repeats its rows.
     """
     label, years = F.col(f"`{record.columns[1]}`"), record.columns[2:]
-    names = code_map.select(F.trim(F.upper("code")).alias("Code"), F.col("name").alias("DRG_Name"))
+    names = code_map.select(stripped(F.upper("code")).alias("Code"), F.col("name").alias("DRG_Name"))
     rows = record.where(without_match(label, SUBTOTAL_PATTERN)).withColumn("Code", leading_code(label))
     long = wide_to_long(rows.where(F.col("Code").isNotNull()), ["Code"], years, "Year", "Patients")
     number = plain_integer(F.col("Patients"), strict=False)
@@ -42,7 +42,7 @@ def counts_from_sheet(record: DataFrame, code_map: DataFrame) -> DataFrame:
     # code only, and raises only where the code is listed
     summed = long.groupBy(F.col("Year").cast("int").alias("Year"), "Code").agg(
         F.sum(number).alias("KOSIS_Patients"),
-        F.min(F.when(number.isNull(), F.col("Patients"))).alias("bad_cell"),
+        F.min(F.when(number.isNull(), F.coalesce("Patients", F.lit("(blank)")))).alias("bad_cell"),
     )
     yearly = summed.join(names.select("Code"), "Code", "left_semi").select(
         "Year",

@@ -80,13 +80,19 @@ def latest_training(tables: Mapping[str, DataFrame], params: JobParams, rules: S
     )
 
 
-def quota_by_quarter(tables: Mapping[str, DataFrame], params: JobParams, rules: SnapshotRules) -> DataFrame:
-    """Forecast sums per hospital of the region and quarter, by bucket."""
+def quota_by_quarter(
+    tables: Mapping[str, DataFrame], params: JobParams, rules: SnapshotRules, only_current: bool = False
+) -> DataFrame:
+    """Forecast sums per hospital of the region and quarter, by bucket; of the running quarter only, if so wanted."""
     hospitals = tables["account"].where(
         (F.col("capitalregion") == params.region) & (F.col("recordtype") == params.record_type)
     )
     bucket = F.when(F.col("businesscategory") == rules.growth_category, "Growth").otherwise(F.col("businesscategory"))
-    summed = tables["account_quota"].groupBy("accountguid", F.concat("fiscalyear", F.lit("-"), "quarter").alias("quarter_key")).agg(
+    quota = tables["account_quota"]
+    if only_current:  # on the columns themselves, so that it reaches the scan
+        year, quarter = params.quarter_key.split("-")
+        quota = quota.where((F.col("fiscalyear") == F.lit(year)) & (F.col("quarter") == F.lit(quarter)))
+    summed = quota.groupBy("accountguid", F.concat("fiscalyear", F.lit("-"), "quarter").alias("quarter_key")).agg(
         *sums_where(
             {
                 "Other - Forecast": F.coalesce(bucket == "Other", F.lit(False)),
@@ -117,9 +123,7 @@ def quarter_snapshot(tables: Mapping[str, DataFrame], params: JobParams, rules:
             "left",
         )
         .join(
-            quota_by_quarter(tables, params, rules)
-            .where(F.col("quarter_key") == params.quarter_key)
-            .drop("quarter_key"),
+            quota_by_quarter(tables, params, rules, only_current=True).drop("quarter_key"),
             "accountguid",
             "left",
         )

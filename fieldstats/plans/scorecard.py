@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldstats.functions.dates import quarter_key, shift_zone
+from fieldstats.functions.dates import near_range, quarter_key, shift_zone
 from fieldstats.operators.lookup import cross_one_row
 from fieldstats.operators.pivots import counts_where, sums_where
 from fieldstats.operators.ranges import count_year_before
@@ -161,6 +161,7 @@ def opportunity_activity(tables: Mapping[str, DataFrame], params: JobParams, rul
             (F.col("relatedobjecttype") == "Opportunity")
             & (F.col("eventstatus") == params.completed)
             & F.col("pillar").isin([*rules.pillars, rules.meeting_pillar])
+            & near_range(F.col("enddatetime"), params.year_ago)
         )
         .select("activityid", F.col("accountid").alias("accountguid"), "relatedtoid", "pillar", "salesstep", "enddatetime")
         .join(opportunities, "relatedtoid")
@@ -308,7 +309,11 @@ def before_last_install(tables: Mapping[str, DataFrame], rules: ScorecardRules)
         .where((F.col("position") == 1) & (F.col("category") == rules.deal_type))
         .drop("position")
     )
-    cases = tables["procedure_summary"].select("accountguid", "localproceduredate", "procedureguid")
+    cases = (
+        tables["procedure_summary"]
+        .select("accountguid", "localproceduredate", "procedureguid")
+        .join(top.select("accountguid"), "accountguid", "left_semi")
+    )
     return count_year_before(
         top,
         cases,

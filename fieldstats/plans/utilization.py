@@ -29,7 +29,11 @@ class UtilizationRules:
     uncounted_models: Sequence[str] = ()
     hidden_models: Sequence[str] = ()
     first_year: int = 2000
-    last_year: int = 2025
+    last_year: int | None = None  # else the quarters end with that of the run date
+
+    def last_index(self, params: JobParams) -> int:
+        """The last quarter to be listed."""
+        return params.quarter_index if self.last_year is None else self.last_year * 4 + 3
 
 
 def _index_of_key(key: Column) -> Column:
@@ -109,7 +113,7 @@ def _names_listed_with(model: Column) -> Column:
     return F.size(F.filter("listed", lambda item: item["model"].eqNullSafe(model)))
 
 
-def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
+def installed_by_quarter(systems: DataFrame, rules: UtilizationRules, params: JobParams) -> DataFrame:
     """Installed systems per account, system and quarter, with fleet flag and models.
 
     A system is installed from its start quarter up to before its end quarter. Every
@@ -117,7 +121,7 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules) -> DataFra
     listing does.
     """
     quarter = F.col("quarter_index")
-    spine = calendar_spine(systems, rules.first_year * 4, rules.last_year * 4 + 3)
+    spine = calendar_spine(systems, rules.first_year * 4, rules.last_index(params))
     models = F.array_distinct(F.transform(_open_rows(quarter), lambda r: r["model"]))
     listed_models = F.array_distinct(F.transform("listed", lambda item: item["model"]))
     number = _open_count(quarter) * _names_listed_with(F.col("system_model"))
@@ -145,7 +149,7 @@ def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: Utili
     """
     region = tables["account"].where(F.col("clinicalregion") == params.region).select("accountguid")
     systems = systems_by_account(tables["installbase"], region, rules)
-    first, last = rules.first_year * 4, rules.last_year * 4 + 3
+    first, last = rules.first_year * 4, rules.last_index(params)
     keys = ["accountguid", "name", "quarter_index"]
     quarter = F.col("quarter_index")
 

@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution picks partition counts, broadcasts by measured size and
-# splits skewed join partitions, also where that costs one more exchange.
+# Adaptive execution merges small shuffle partitions, broadcasts by measured size and
+# splits skewed join partitions, also where that costs one more exchange. It only
+# merges: set spark.sql.adaptive.coalescePartitions.initialPartitionNum (or
+# spark.sql.shuffle.partitions) to shuffled bytes / 200 MB for large inputs.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -33,11 +35,13 @@ _fallback_roots: dict[str, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder the session names.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a
-    temporary folder stands in for it.
+    Where ``spark.checkpoint.dir`` is unset a session on one machine gets a
+    temporary folder; on a cluster that raises, since executors would not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         root = _fallback_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="fieldstats-")
         _fallback_roots[app] = root

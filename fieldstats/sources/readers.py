@@ -18,20 +18,17 @@ TOTAL_CLASS = "계"
 CODE_MAP_COLUMNS = ("질병군분류(2)", "DRG(포괄수가제 행위 코드)")
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table; its schema is read from the files once per process."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A parquet table, with the schema its files have now."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """An exported sheet with a header line; every column is text."""
-    return spark.read.csv(path, header=True, inferSchema=False)
+    """An exported sheet with a header line; every column is text.
+
+    Cells may be quoted and then hold line breaks and doubled quotes.
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
 
 
 def find_column(columns: Sequence[str], token: str, position: int = 0) -> str:

@@ -37,7 +37,12 @@ def append_snapshot(df: DataFrame, path: str, day: date, column: str = "extract_
 
 
 def write_snapshot_once(df: DataFrame, path: str, day: date, column: str = "extract_date") -> None:
-    """As ``append_snapshot``, but a second run on the same day replaces that day only."""
+    """As ``append_snapshot``, but a second run on the same day replaces that day only, with nothing if it is empty."""
+    if df.isEmpty():
+        spark = df.sparkSession
+        day_folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={day.isoformat()}")
+        day_folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(day_folder, True)
+        return
     (
         df.withColumn(column, lit(day))
         .write.mode("overwrite")
@@ -50,5 +55,5 @@ def write_snapshot_once(df: DataFrame, path: str, day: date, column: str = "extr
 def export_dated(df: DataFrame, folder: str, day: date, prefix: str = "MarketData") -> str:
     """Write CSV files to a folder named after the day; returns the folder."""
     path = f"{folder.rstrip('/')}/{prefix}_{day.isoformat()}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path

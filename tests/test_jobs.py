@@ -175,7 +175,7 @@ def test_installed_systems_match_brute_force(spark):
     )
     rules = utilization.UtilizationRules(first_year=2000, last_year=2001)
     accounts = spark.createDataFrame([(1,)], "accountguid int")
-    got = rows(utilization.installed_by_quarter(utilization.systems_by_account(systems, accounts, rules), rules).drop("accountguid", "name"))
+    got = rows(utilization.installed_by_quarter(utilization.systems_by_account(systems, accounts, rules), rules, JobParams(as_of=date(2026, 12, 1), region="ASIA")).drop("accountguid", "name"))
     want = []
     for q in range(8000, 8008):
         found = [m for _, m, s, e in data if s is not None and s <= q and (e is None or q < e)]

@@ -1,9 +1,14 @@
 from datetime import date
 
+import pytest
 from conftest import rows
 from fieldstats.jobs import JobRules, daily_refresh, yearly_market
+from fieldstats.params import JobParams
 from fieldstats.plans.events import event_log
-from fieldstats.sources.sinks import write_snapshot_once
+from fieldstats.plans.market import counts_from_sheet
+from fieldstats.plans.utilization import UtilizationRules
+from fieldstats.sources.readers import read_sheet, read_table
+from fieldstats.sources.sinks import export_dated, write_snapshot_once
 from workload.bindings import PARAMS, SourceTables
 from workload.products import EVENTS, SCORECARD, SNAPSHOT, USAGE, UTILIZATION
 
@@ -42,3 +47,44 @@ def test_yearly_market_from_files(spark, tmp_path):
         ("DRG", "2020", "A010", "Ten", "0", "0", "0"),
         ("HIRA", "2019", "Q1", "Subject one", "12", "0", "12"),
     ]
+
+
+def test_a_second_empty_run_clears_its_day(spark, tmp_path):
+    path, full = str(tmp_path / "log"), spark.range(3).toDF("id")
+    for frame, day in ((full, date(2001, 6, 19)), (full, date(2001, 6, 20)), (full.limit(0), date(2001, 6, 20))):
+        write_snapshot_once(frame, path, day)
+    assert [tuple(r) for r in spark.read.parquet(path).groupBy("extract_date").count().collect()] == [(date(2001, 6, 19), 3)]
+
+
+def test_tables_are_read_with_their_present_schema(spark, tmp_path):
+    for frame in (spark.range(1), spark.range(1).selectExpr("id", "1 as more")):
+        frame.write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        assert read_table(spark, str(tmp_path), "t").columns == frame.columns
+
+
+def test_sheets_hold_quoted_line_breaks(spark, tmp_path):
+    data = [('two\nlines', 'a "quoted" word'), ("plain", "a,b")]
+    out = export_dated(spark.createDataFrame(data, "`the\nlabel` string, other string"), str(tmp_path), date(2001, 1, 1))
+    sheet = read_sheet(spark, out)
+    assert sheet.columns == ["the\nlabel", "other"] and rows(sheet) == sorted(data)
+
+
+def test_sheet_codes_and_cells(spark):
+    record = spark.createDataFrame([("g", "A010 x", "1,234"), ("g", "B020 y", "5")], "`g` string, label string, `2019` string")
+    listed = spark.createDataFrame([("A010\u00a0", "Ten"), ("\tb020", "Twenty")], "code string, name string")
+    assert sorted(r["KOSIS_Patients"] for r in counts_from_sheet(record, listed).collect()) == [5, 1234]
+    blank = spark.createDataFrame([("g", "A010 x", None)], record.schema)
+    with pytest.raises(Exception, match="blank"):
+        counts_from_sheet(blank, listed).collect()
+
+
+def test_utilization_ends_with_the_run_quarter():
+    assert UtilizationRules().last_index(JobParams(as_of=date(2026, 12, 1), region="K")) == 2026 * 4 + 3
+
+
+def test_event_dates_reach_the_scan(spark, plan, tmp_path):
+    tables = SourceTables(spark, FOLDER, {"procedures": "procedures_typed"})
+    tables["event"].write.parquet(str(tmp_path / "event"))
+    stored = {n: tables[n] for n in ("account", "contact", "user", "opportunity", "opportunity_line", "milestone_pathway", "record_type")}
+    text = plan(event_log({**stored, "event": spark.read.parquet(str(tmp_path / "event"))}, PARAMS, EVENTS))
+    assert "GreaterThanOrEqual(eventenddatetime" in text

@@ -143,11 +143,11 @@ def q_market_head(spark, sf_dir):
 
 @query(
     "wide_file_read",
-    """select cast(c_custkey as varchar) as code, c_name as name from customer where c_mktsegment = 'BUILDING'""",
+    """select cast(c_custkey as varchar) as code, c_name as name from customer""",
 )
 def q_wide_file_read(spark, sf_dir):
     path = scratch_path(spark, "sheet")
-    customer = read_table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    customer = read_table(spark, sf_dir, "customer")
     sheet = customer.select(
         F.col("c_name").alias("The Subject"), F.col("c_custkey").alias("St5 CODE"), F.col("c_acctbal").alias("Balance")
     )

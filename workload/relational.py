@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -280,10 +278,10 @@ def q_cast_compare(spark, sf_dir):
 @query(
     "join_inner",
     """select l_orderkey, l_linenumber, o_custkey, o_orderpriority from lineitem
-  inner join orders on l_orderkey = o_orderkey where o_orderstatus = 'F'""",
+  inner join orders on l_orderkey = o_orderkey""",
 )
 def q_join_inner(spark, sf_dir):
-    orders = read_table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    orders = read_table(spark, sf_dir, "orders")
     return (
         read_table(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -294,14 +292,13 @@ def q_join_inner(spark, sf_dir):
 @query(
     "join_comma",
     """select l_orderkey, l_linenumber, c_name, p_type, o_orderpriority from lineitem, orders, customer, part
-  where l_orderkey = o_orderkey and o_custkey = c_custkey and l_partkey = p_partkey and year(o_orderdate) > 1999""",
+  where l_orderkey = o_orderkey and o_custkey = c_custkey and l_partkey = p_partkey""",
 )
 def q_join_comma(spark, sf_dir):
     return spark.sql(
         """select l_orderkey, l_linenumber, c_name, p_type, o_orderpriority
            from {lineitem}, {orders}, {customer}, {part}
-           where l_orderkey = o_orderkey and o_custkey = c_custkey and l_partkey = p_partkey
-             and o_orderdate >= timestamp_ntz '2000-01-01'""",
+           where l_orderkey = o_orderkey and o_custkey = c_custkey and l_partkey = p_partkey""",
         **{name: read_table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "part")},
     )
 
@@ -401,14 +398,14 @@ def q_activity_spine(spark, sf_dir):
 @query(
     "join_multikey",
     """with a as (select o_custkey, o_orderpriority, count(*) as orders from orders group by 1, 2),
-  b as (select o_custkey, o_orderpriority, max(o_totalprice) as largest from orders where o_orderstatus = 'F' group by 1, 2)
+  b as (select o_custkey, o_orderpriority, max(o_totalprice) as largest from orders group by 1, 2)
 select a.o_custkey, a.o_orderpriority, a.orders, b.largest from a left join b
   on a.o_custkey = b.o_custkey and a.o_orderpriority = b.o_orderpriority""",
 )
 def q_join_multikey(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     keys = ["o_custkey", "o_orderpriority"]
-    largest = orders.where("o_orderstatus = 'F'").groupBy(*keys).agg(F.max("o_totalprice").alias("largest"))
+    largest = orders.groupBy(*keys).agg(F.max("o_totalprice").alias("largest"))
     return orders.groupBy(*keys).agg(F.count("*").alias("orders")).join(largest, keys, "left")
 
 
@@ -435,14 +432,14 @@ def q_trailing_year_count(spark, sf_dir):
 
 @query(
     "year_before_anchor",
-    """with anchors as (select distinct o_custkey, cast(o_orderdate as date) as anchor from orders where o_orderpriority = '1-URGENT')
+    """with anchors as (select distinct o_custkey, cast(o_orderdate as date) as anchor from orders)
 select a.o_custkey, a.anchor, count(o.o_orderkey) as before_anchor from anchors a left join orders o
   on a.o_custkey = o.o_custkey and a.anchor > cast(o.o_orderdate as date)
   and a.anchor - interval 1 year <= cast(o.o_orderdate as date) group by 1, 2""",
 )
 def q_year_before_anchor(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
-    anchors = orders.where("o_orderpriority = '1-URGENT'").select("o_custkey", order_day().alias("anchor")).distinct()
+    anchors = orders.select("o_custkey", order_day().alias("anchor")).distinct()
     return count_year_before(anchors, orders, "o_custkey", "anchor", "o_orderdate", "o_orderkey", "before_anchor")
 
 
@@ -454,7 +451,7 @@ def q_year_before_anchor(spark, sf_dir):
 def q_validity_join(spark, sf_dir):
     tables = SourceTables(spark, sf_dir)
     region = tables["account"].where(F.col("clinicalregion") == PARAMS.region).select("accountguid")
-    return installed_by_quarter(systems_by_account(tables["installbase"], region, UTILIZATION), UTILIZATION)
+    return installed_by_quarter(systems_by_account(tables["installbase"], region, UTILIZATION), UTILIZATION, PARAMS)
 
 
 @query(
@@ -735,14 +732,10 @@ def q_latest_per_key(spark, sf_dir):
 @query(
     "earliest_per_key",
     f"""select o_custkey, o_orderkey, cast(o_orderdate as date) as day from (select *,
-  row_number() over (partition by o_custkey order by cast(o_orderdate as date), o_orderkey) as rn from orders
-  where o_orderdate >= {QUARTER_FIRST} - interval 1 year and o_orderstatus = 'O') where rn = 1""",
+  row_number() over (partition by o_custkey order by cast(o_orderdate as date), o_orderkey) as rn from orders) where rn = 1""",
 )
 def q_earliest_per_key(spark, sf_dir):
-    recent = (F.col("o_orderdate") >= F.lit(date(PARAMS.as_of.year - 1, 4, 1)).cast("timestamp_ntz")) & (
-        F.col("o_orderstatus") == "O"
-    )
-    orders = read_table(spark, sf_dir, "orders").where(recent).select("o_custkey", "o_orderkey", order_day().alias("day"))
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", order_day().alias("day"))
     return first_row_per_key(orders, ["o_custkey"], [F.col("day").asc(), F.col("o_orderkey").asc()])
 
 
