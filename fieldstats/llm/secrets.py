@@ -27,8 +27,8 @@ WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-."
 #: Distinct labelled strings per class the models are fitted on (smallest hashes); generated random ones.
 FIT_STRINGS, GENERATED = 20_000, 2_000
-#: Added to every count of a pair.
-SMOOTHING = 0.5
+#: Added to every count of a character; pairs after a character count as if so many more had been drawn by characters alone.
+SMOOTHING, BACKED = 0.5, 20.0
 #: Least mean log-likelihood ratio (nats per pair) of a secret.
 LIMIT = 0.75
 
@@ -115,14 +115,15 @@ def fit(samples: DataFrame) -> list[float]:
     usable = F.col("word").isNotNull() & ~F.col("word").rlike(r"[^A-Za-z0-9+/_=.\-]")
     pairs = samples.where(usable).select(F.explode(_pairs(F.col("word"))).alias("pair"), "random")
     counts = {(r["pair"], r["random"]): r["n"] for r in pairs.groupBy("pair", "random").agg(F.count("*").alias("n")).collect()}
-    out = []
-    for a in range(_SIZE):
-        rows = {}
-        for kind in (True, False):
-            own = [counts.get((a * _SIZE + b, kind), 0) + SMOOTHING for b in range(_SIZE)]
-            rows[kind] = [math.log(x / sum(own)) for x in own]
-        out += [x - y for x, y in zip(rows[True], rows[False], strict=True)]
-    return out
+    each = range(_SIZE)
+
+    def log_odds(kind: bool) -> list[float]:
+        pair = [[counts.get((a * _SIZE + b, kind), 0) for b in each] for a in each]
+        single = [sum(pair[a][b] for a in each) + SMOOTHING for b in each]
+        share = [x / sum(single) for x in single]
+        return [math.log((pair[a][b] + BACKED * share[b]) / (sum(pair[a]) + BACKED)) for a in each for b in each]
+
+    return [x - y for x, y in zip(log_odds(True), log_odds(False), strict=True)]
 
 
 def ratio(word: Column, model: list[float]) -> Column:

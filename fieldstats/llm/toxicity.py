@@ -23,7 +23,7 @@ FIT_ROWS = 4_000
 #: Hashed features, and how many of them a model keeps.
 HASHED, KEPT = 1 << 20, 4_096
 #: Least z value of the difference in frequency of a kept feature, and least rows that have it.
-LEAST_Z, LEAST_ROWS = 5.0, 5
+LEAST_Z, LEAST_ROWS = 4.5, 4
 FOLDS = 5
 THRESHOLD = 0.5
 _PREFIXES = (4, 5)
@@ -54,7 +54,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Linear:
     """Logistic regression on chosen binary features and the chain's earlier probabilities."""
 
-    def __init__(self, rows: list[np.ndarray], before: np.ndarray, y: np.ndarray, rounds: int = 150, ridge: float = 1e-3):
+    def __init__(self, rows: list[np.ndarray], before: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-4):
         n, positive = len(y), int(y.sum())
         self.keep = np.empty(0, dtype=np.int32)
         self.bias = np.log((positive + 0.5) / (n - positive + 0.5)) if n else -30.0
@@ -75,10 +75,12 @@ class Linear:
         column, has = self._columns(flat)
         column, owner = column[has], owner[has]
         step_w, step_c, step_b = np.zeros_like(self.weight), np.zeros_like(self.chain), 0.0
-        rate = 1.0
+        # Both classes weigh alike, so that a rare category is not held below the threshold.
+        each = np.where(y == 1, 0.5 / positive, 0.5 / (n - positive))
+        self.bias, rate = 0.0, 2.0
         for _ in range(rounds):
             score = self.bias + before @ self.chain + np.bincount(owner, self.weight[column], minlength=n)
-            error = (_sigmoid(score) - y) / n
+            error = (_sigmoid(score) - y) * each
             grad_w = np.bincount(column, error[owner], minlength=len(self.weight)) + ridge * self.weight
             step_w = 0.9 * step_w - rate * grad_w
             step_c = 0.9 * step_c - rate * (before.T @ error + ridge * self.chain)
