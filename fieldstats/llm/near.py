@@ -39,6 +39,8 @@ FREQUENT = 16
 FREQUENT_KEPT = 1 << 18
 #: Ids of texts to verify are broadcast up to so many, beyond that they are joined by shuffle.
 BROADCAST_IDS = 200_000
+#: Shingles that a task holds before it packs and passes on their counts (8 bytes each).
+COUNTED_AT_ONCE = 1 << 21
 #: Group pairs with more class pairs than this start with pivots too.
 CLASS_PAIRS = 256
 
@@ -56,26 +58,36 @@ def _split(part: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(part[a]), slice(a, b)
 
 
+def _packed(found: list[np.ndarray]) -> pa.RecordBatch:
+    """Slots as one row per part: those seen once, and those seen more often with their counts."""
+    keys = np.concatenate(found)
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    counts = np.diff(first, append=len(keys))
+    keys = keys[first]
+    low = keys.astype(np.uint32)
+    rows = {"part": [], "one": [], "more": [], "times": []}
+    for p, own in _split((keys >> np.uint64(32)).astype(np.int64)):
+        single = counts[own] == 1
+        rows["part"].append(p)
+        rows["one"].append(low[own][single].tobytes())
+        rows["more"].append(low[own][~single].tobytes())
+        rows["times"].append(counts[own][~single].astype(np.int64).tobytes())
+    return pa.RecordBatch.from_pydict(rows, schema=pa.schema([("part", pa.int64()), ("one", pa.binary()), ("more", pa.binary()), ("times", pa.binary())]))
+
+
 def _count_blocks(parts: int):
     def run(batches):
-        hasher = Hasher()
+        hasher, found, held = Hasher(), [], 0
         for batch in batches:
-            found = []
-            for _, texts in blocks(batch.column(0).to_pylist()):
-                found += shingle_sets(hasher, texts)
-            if not found:
-                continue
-            keys, counts = np.unique(_slots(np.concatenate(found), parts), return_counts=True)
-            part = (keys >> np.uint64(32)).astype(np.int64)
-            low = keys.astype(np.uint32)
-            rows = {"part": [], "one": [], "more": [], "times": []}
-            for p, own in _split(part):
-                single = counts[own] == 1
-                rows["part"].append(p)
-                rows["one"].append(low[own][single].tobytes())
-                rows["more"].append(low[own][~single].tobytes())
-                rows["times"].append(counts[own][~single].astype(np.int64).tobytes())
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("part", pa.int64()), ("one", pa.binary()), ("more", pa.binary()), ("times", pa.binary())]))
+            for _, texts in blocks(batch.column(0)):
+                found.append(_slots(np.concatenate(shingle_sets(hasher, texts)), parts))
+                held += len(found[-1])
+                if held >= COUNTED_AT_ONCE:
+                    yield _packed(found)
+                    found, held = [], 0
+        if held:
+            yield _packed(found)
 
     return run
 
@@ -152,7 +164,7 @@ def _digests(order):
         hasher, known = Hasher(), order.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in blocks(batch.column(1).to_pylist()):
+            for first, texts in blocks(batch.column(1)):
                 rows = {f.name: [] for f in schema}
                 for k, own in enumerate(shingle_sets(hasher, texts)):
                     prefix, slot, rare = known.prefix(own) if len(own) else (own, own, 0)
@@ -171,7 +183,7 @@ def _prefix_blocks(order):
         hasher, known = Hasher(), order.value
         for batch in batches:
             slots, keys, sizes, places, seen = [], [], [], [], set()
-            for _, texts in blocks(batch.column(0).to_pylist()):
+            for _, texts in blocks(batch.column(0)):
                 for own in shingle_sets(hasher, texts):
                     if not len(own):
                         continue
@@ -226,7 +238,7 @@ def _sets(batches):
     schema = pa.schema([("sig", pa.binary()), ("shingles", pa.list_(pa.int64()))])
     hasher = Hasher()
     for batch in batches:
-        for _, texts in blocks(batch.column(0).to_pylist()):
+        for _, texts in blocks(batch.column(0)):
             found = shingle_sets(hasher, texts)
             yield pa.RecordBatch.from_pydict({"sig": [_signature(x) for x in found], "shingles": [x.view(np.int64) for x in found]}, schema=schema)
 

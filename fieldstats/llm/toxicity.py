@@ -42,7 +42,7 @@ def _sample_features(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        for first, block in blocks(batch.column("text").to_pylist()):
+        for first, block in blocks(batch.column("text")):
             found = [x.tobytes() for x in _features(hasher, block)]
             yield pa.RecordBatch.from_pydict({"doc_id": ids[first : first + len(block)], "features": found}, schema=schema)
 
@@ -149,7 +149,7 @@ def _score(models, schema: pa.Schema):
         hasher = Hasher(separators(letters_only=True))
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for first, block in blocks(batch.column("text").to_pylist()):
+            for first, block in blocks(batch.column("text")):
                 p = chained(models.value, _features(hasher, block))
                 columns = [ids[first : first + len(block)], *p.T, p[:, -1] >= THRESHOLD]
                 yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
@@ -161,7 +161,7 @@ def _accept(models):
     def run(batches):
         hasher = Hasher(separators(letters_only=True))
         for batch in batches:
-            good = [chained(models.value, _features(hasher, block))[:, -1] < THRESHOLD for _, block in blocks(batch.column("text").to_pylist())]
+            good = [chained(models.value, _features(hasher, block))[:, -1] < THRESHOLD for _, block in blocks(batch.column("text"))]
             yield batch.filter(pa.array(np.concatenate(good))) if good else batch
 
     return run

@@ -1,6 +1,6 @@
 """Word and shingle hashes of many texts at once, as numpy arrays.
 
-Used inside Arrow batches. Texts are handled in blocks of a few megabytes, so
+Used inside Arrow batches. Texts are handled in blocks of some hundred kilobytes, so
 memory does not depend on the batch, and each text is read whole.
 """
 
@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+#: Bytes of a block, and values taken out of an Arrow column at once.
+BLOCK_BYTES, VALUES = 1 << 18, 256
 SHINGLE = 5
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _WINDOW = np.array(
@@ -101,10 +103,15 @@ class Hasher:
         return owner, *[np.concatenate([h[k] for h in hashes]) for k in range(1 + len(prefixes))]
 
 
-def blocks(values: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+def _values(column: pa.Array) -> Iterator[str | None]:
+    for at in range(0, len(column), VALUES):
+        yield from column.slice(at, VALUES).to_pylist()
+
+
+def blocks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Texts as bytes in blocks of bounded size (one long text is a block), with the index of the first; null is empty."""
     block, size, first = [], 0, 0
-    for i, value in enumerate(values):
+    for i, value in enumerate(_values(column)):
         raw = (value or "").encode("utf-8", "surrogatepass")
         if block and size + len(raw) > BLOCK_BYTES:
             yield first, block
