@@ -18,7 +18,7 @@ from fieldstats.plans.procedures import SnapshotRules, duration_population, quar
 from fieldstats.plans.scorecard import ScorecardRules, account_scorecard
 from fieldstats.plans.usage import UsageRules, app_usage
 from fieldstats.plans.utilization import UtilizationRules, utilization
-from fieldstats.sources.readers import code_map, matching_codes, read_responses, read_sheet
+from fieldstats.sources.readers import code_map, matching_codes, read_responses, read_sheet, repeated_codes, response_quality
 from fieldstats.sources.sinks import evenly_sized, export_dated, replace_table, write_snapshot_once
 
 
@@ -27,10 +27,31 @@ class JobRules:
     """Lists and labels of all daily products."""
 
     usage: UsageRules
-    snapshot: SnapshotRules = SnapshotRules()
-    scorecard: ScorecardRules = ScorecardRules()
-    utilization: UtilizationRules = UtilizationRules()
-    events: EventRules = EventRules()
+    snapshot: SnapshotRules
+    scorecard: ScorecardRules
+    utilization: UtilizationRules
+    events: EventRules
+
+
+@dataclass(frozen=True)
+class Holidays:
+    """Days off per block that projects the running quarter; None has none."""
+
+    population: DataFrame | None = None
+    duration: DataFrame | None = None
+    duration_tiers: DataFrame | None = None
+    scorecard: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class MarketRun:
+    """Where the yearly export went, and what its input was like."""
+
+    folder: str
+    responses: int
+    unreadable: int
+    repeated_matching_codes: int
+    repeated_map_codes: int
 
 
 def daily_products(
@@ -38,17 +59,22 @@ def daily_products(
     tables: Mapping[str, DataFrame],
     params: JobParams,
     rules: JobRules,
-    holidays: DataFrame | None = None,
+    holidays: Holidays = Holidays(),
 ) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the result tables by name, in the order of the run."""
-    calendar = run_rate_calendar(spark, params, holidays)
+
+    def calendar(days: DataFrame | None) -> DataFrame:
+        return run_rate_calendar(spark, params, days)
+
     return {
         "account_access": lambda: access_list(tables, params),
         "account_access_region": lambda: access_list_region(tables, params),
-        "surgeon_population_shift": lambda: population_shift(spark, tables, params, calendar),
+        "surgeon_population_shift": lambda: population_shift(spark, tables, params, calendar(holidays.population)),
         "procedures_current_quarter": lambda: quarter_snapshot(tables, params, rules.snapshot),
-        "procedure_duration_population": lambda: duration_population(spark, tables, params, rules.snapshot, calendar),
-        "account_scorecard": lambda: account_scorecard(spark, tables, params, rules.scorecard, calendar),
+        "procedure_duration_population": lambda: duration_population(
+            spark, tables, params, rules.snapshot, calendar(holidays.duration), calendar(holidays.duration_tiers)
+        ),
+        "account_scorecard": lambda: account_scorecard(spark, tables, params, rules.scorecard, calendar(holidays.scorecard)),
         "system_utilization": lambda: utilization(tables, params, rules.utilization),
         "app_usage": lambda: app_usage(tables, params, rules.usage),
     }
@@ -61,7 +87,7 @@ def daily_refresh(
     rules: JobRules,
     database: str,
     event_log_path: str,
-    holidays: DataFrame | None = None,
+    holidays: Holidays = Holidays(),
 ) -> list[str]:
     """Replace every result table, then write the day's events; returns the table names.
 
@@ -84,10 +110,20 @@ def yearly_market(
     mapping: str,
     folder: str,
     day: date,
-) -> str:
-    """Market size from landed responses and exported sheets; returns the dated folder."""
-    total = market_total(
-        counts_from_responses(read_responses(spark, responses), matching_codes(read_sheet(spark, matching))),
-        counts_from_sheet(read_sheet(spark, record), code_map(read_sheet(spark, mapping))),
+) -> MarketRun:
+    """Market size from landed responses and exported sheets, in a dated folder.
+
+    Raises where nothing was landed or a sheet has no rows. Responses that cannot
+    be read and codes that are listed twice are counted in the result.
+    """
+    landed = read_responses(spark, responses)
+    sheets = {"matching": read_sheet(spark, matching), "record": read_sheet(spark, record), "mapping": read_sheet(spark, mapping)}
+    quality = response_quality(landed).first()
+    empty = [name for name, sheet in sheets.items() if sheet.isEmpty()] + ([] if quality["responses"] else ["responses"])
+    if empty:
+        raise ValueError(f"no rows in {', '.join(empty)}")
+    codes, names = matching_codes(sheets["matching"]), code_map(sheets["mapping"])
+    total = market_total(counts_from_responses(landed, codes), counts_from_sheet(sheets["record"], names))
+    return MarketRun(
+        export_dated(total, folder, day), quality["responses"], quality["unreadable"], repeated_codes(codes).count(), repeated_codes(names).count()
     )
-    return export_dated(total, folder, day)

@@ -142,7 +142,7 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules, params: Jo
 
 
 def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: UtilizationRules) -> DataFrame:
-    """Run-rate over last quarter's installed count, per system and quarter.
+    """Run-rate over last quarter's installed count, per system and quarter; the flag is the offset from the running quarter.
 
     The system rows are read once: start labels and the counts of this and the last
     quarter come out of each key's array, so only the run-rates are joined.
@@ -188,7 +188,7 @@ def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: Utili
         "quarter",
         "accountguid",
         "accountname",
-        quarter.alias("CURRENT_QUARTER_FLAG"),
+        (quarter - params.quarter_index).alias("CURRENT_QUARTER_FLAG"),
         F.col("name").alias("SystemName"),
         F.col("model").alias("SystemModel"),
         "InstalldateQ",

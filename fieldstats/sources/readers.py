@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldstats.functions.text import stripped
+
 # Field names of the statistics service's answers.
 _ENVELOPE = T.StructType().add(
     "response", T.StructType().add("body", T.StructType().add("items", T.StructType().add("item", "string")))
@@ -53,6 +55,12 @@ def code_map(sheet: DataFrame, columns: tuple[str, str] = CODE_MAP_COLUMNS) -> D
     return sheet.select(F.col(f"`{code}`").alias("code"), F.col(f"`{name}`").alias("name"))
 
 
+def repeated_codes(codes: DataFrame) -> DataFrame:
+    """(code, n) of the codes that a sheet lists more than once, compared as the joins do."""
+    cleaned = codes.select(stripped(F.upper("code")).alias("code")).where(F.col("code").isNotNull())
+    return cleaned.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses, one JSON line each: ``{"year", "code", "body"}``."""
     return spark.read.schema("year int, code string, body string").json(path)

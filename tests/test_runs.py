@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from conftest import rows
+from fieldstats import jobs
 from fieldstats.jobs import JobRules, daily_refresh, yearly_market
 from fieldstats.params import JobParams
 from fieldstats.plans.events import event_log
@@ -40,15 +41,38 @@ def test_yearly_market_from_files(spark, tmp_path):
     spark.createDataFrame([(2019, "Q1", body), (2020, "Q1", "broken")], "year int, code string, body string").write.json(landed)
     matching = write("matching", [("1", "Q1", "Subject one")], ["No", "St5 Code", "Subject"])
     record = write("record", [("g", "A010 x", "1,234", "-"), ("g", "소계", "9", "9")], ["group", "label", "2019", "2020"])
-    mapping = write("map", [("A010", "Ten")], ["질병군분류(2)", "DRG(포괄수가제 행위 코드)"])
-    out = yearly_market(spark, landed, matching, record, mapping, str(tmp_path), date(2025, 1, 2))
-    assert rows(spark.read.csv(out, header=True)) == [
+    mapping = write("map", [("A010", "Ten"), ("X1", "One"), (" x1", "One")], ["질병군분류(2)", "DRG(포괄수가제 행위 코드)"])
+    run = yearly_market(spark, landed, matching, record, mapping, str(tmp_path), date(2025, 1, 2))
+    assert (run.responses, run.unreadable, run.repeated_matching_codes, run.repeated_map_codes) == (2, 1, 0, 1)
+    assert rows(spark.read.csv(run.folder, header=True)) == [
         ("DRG", "2019", "A010", "Ten", "0", "1234", "1234"),
         ("DRG", "2020", "A010", "Ten", "0", "0", "0"),
         ("HIRA", "2019", "Q1", "Subject one", "12", "0", "12"),
     ]
 
 
+def test_yearly_market_stops_on_empty_input(spark, tmp_path):
+    sheet = str(tmp_path / "sheet")
+    spark.createDataFrame([("1", "Q1")], "code string, subject string").write.option("header", True).csv(sheet)
+    landed = str(tmp_path / "landed")
+    spark.createDataFrame([], "year int, code string, body string").write.json(landed)
+    with pytest.raises(ValueError, match="no rows in responses"):
+        yearly_market(spark, landed, sheet, sheet, sheet, str(tmp_path), date(2025, 1, 2))
+
+
+def test_blocks_have_their_own_holidays(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "run_rate_calendar", lambda spark, params, days: days)
+    monkeypatch.setattr(jobs, "population_shift", lambda *a: seen.append(a[3:]))
+    monkeypatch.setattr(jobs, "duration_population", lambda *a: seen.append(a[4:]))
+    monkeypatch.setattr(jobs, "account_scorecard", lambda *a: seen.append(a[4:]))
+    rules = JobRules(usage=USAGE, snapshot=SNAPSHOT, scorecard=SCORECARD, utilization=UTILIZATION, events=EVENTS)
+    products = jobs.daily_products(spark, {}, PARAMS, rules, jobs.Holidays("p", "d", "t", "s"))
+    for name in ("surgeon_population_shift", "procedure_duration_population", "account_scorecard"):
+        products[name]()
+    assert seen == [("p",), ("d", "t"), ("s",)]
+
+
 def test_a_second_empty_run_clears_its_day(spark, tmp_path):
     path, full = str(tmp_path / "log"), spark.range(3).toDF("id")
     for frame, day in ((full, date(2001, 6, 19)), (full, date(2001, 6, 20)), (full.limit(0), date(2001, 6, 20))):
