@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldstats.llm import archives, chat, decontam, licenses, mixing, near, secrets, topk, toxicity, urls
+from fieldstats.llm import archives, chat, decontam, licenses, manifest, mixing, near, secrets, topk, toxicity, urls
 from fieldstats.session import scratch_path
 
 #: The chain of categories; the last one decides.
@@ -111,8 +111,30 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", manifest.UPPER, manifest.LOWER)
+    changed = F.coalesce((F.crc32(F.col("doc_id").cast("string")) % 3) == 0, F.lit(False))
+    tampered = F.when(changed, manifest.leaf_of(columns, text=lowered)).otherwise(manifest.leaf_of(columns))
+    out = manifest.manifest(docs.select(*columns), columns, "doc_id", "lang", tampered)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_secrets, op2_near_duplicates, op3_decontamination, op4_mixing, op5_warc, op6_licenses, op7_toxicity, op8_urls, op9_topk, op10_chat)
+    for f in (
+        op1_secrets,
+        op2_near_duplicates,
+        op3_decontamination,
+        op4_mixing,
+        op5_warc,
+        op6_licenses,
+        op7_toxicity,
+        op8_urls,
+        op9_topk,
+        op10_chat,
+        op11_manifest,
+    )
 }
 CHECKS: dict[str, str] = {}

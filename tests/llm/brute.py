@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -135,3 +136,61 @@ def chat(rows):
         loss = "".join(t for r, t in turns if r == "assistant")
         out.append((c, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss)))
     return out
+
+
+def _field(value) -> str:
+    if value is None:
+        return "-"
+    text = str(value)
+    return f"{len(text.encode())}:{text}"
+
+
+def _levels(nodes: list[str], fanout: int = 8) -> list[list[str]]:
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([sha("".join(below[i : i + fanout])) for i in range(0, len(below), fanout)])
+    return levels
+
+
+def _path(levels: list[list[str]], at: int, fanout: int = 8) -> list[tuple[str, str]]:
+    out = []
+    for row in levels[:-1]:
+        start = at // fanout * fanout
+        out.append(("".join(row[start:at]), "".join(row[at + 1 : start + fanout])))
+        at //= fanout
+    return out
+
+
+def _fold(path, start: str) -> str:
+    for before, after in path:
+        start = sha(before + start + after)
+    return start
+
+
+def manifest(rows):
+    """rows: (doc_id, source, lang, n_chars, text); the op11 result as tuples."""
+    leaf = lambda r: sha("".join(_field(v) for v in r))
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[2]].append((r, leaf(r)))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees, subroots = {}, []
+    for g in order:
+        members = sorted(groups[g], key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        levels = _levels([h for _, h in members])
+        trees[g] = (members, levels)
+        subroots.append(levels[-1][0])
+    top = _levels(subroots)
+    out = []
+    for gi, g in enumerate(order):
+        members, levels = trees[g]
+        above = _path(top, gi)
+        for i, (r, h) in enumerate(members):
+            path = _path(levels, i) + above
+            text = r[4]
+            changed = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0
+            t = leaf((*r[:4], text.translate(UPPER) if (changed and text is not None) else text))
+            folded = _fold(path, t)
+            out.append((r[0], h, levels[-1][0], top[-1][0], sha("".join(b + a for b, a in path)), folded, folded == top[-1][0]))
+    return out
