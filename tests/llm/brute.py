@@ -194,3 +194,70 @@ def manifest(rows):
             folded = _fold(path, t)
             out.append((r[0], h, levels[-1][0], top[-1][0], sha("".join(b + a for b, a in path)), folded, folded == top[-1][0]))
     return out
+
+
+def _discounts(n):
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] + 2 * n[1] else 0.0
+    return [min(float(k), max(0.1, k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.0)) for k in (1, 2, 3)]
+
+
+def lm_scores(rows):
+    """rows: (doc_id, text); op13 as (doc_id, held_out, n_tokens, n_known, train_tokens, base, score)."""
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+    toks = lambda t: [w for w in WORD.findall((t or "").translate(UPPER))] + ["\n"]
+    tri = defaultdict(int)
+    for d, t in rows:
+        if not held(d):
+            p = ["\t", "\t", *toks(t)]
+            for i in range(2, len(p)):
+                tri[tuple(p[i - 2 : i + 1])] += 1
+    bi = defaultdict(int)  # continuation: distinct u
+    for u, v, w in tri:
+        bi[(v, w)] += 1
+    uni = defaultdict(int)
+    for v, w in bi:
+        uni[w] += 1
+    raw = defaultdict(int)
+    for (u, v, w), c in tri.items():
+        raw[w] += c
+    n, vocab = sum(raw.values()), len(raw)
+
+    def counts_of(values):
+        return [sum(1 for x in values if x == k) for k in range(1, 5)]
+
+    d1, d2, d3 = _discounts(counts_of(uni.values())), _discounts(counts_of(bi.values())), _discounts(counts_of(tri.values()))
+
+    def disc(d, c):
+        return 0.0 if c == 0 else d[min(c, 3) - 1]
+
+    def ctx(table, key_of):
+        out = defaultdict(lambda: [0, 0, 0, 0])
+        for k, c in table.items():
+            s = out[key_of(k)]
+            s[0] += c
+            s[min(c, 3)] += 1
+        return out
+
+    ctx2, ctx3 = ctx(bi, lambda k: k[0]), ctx(tri, lambda k: k[:2])
+    t1 = sum(uni.values())
+    n1 = counts_of(uni.values())
+    g1 = (d1[0] * n1[0] + d1[1] * n1[1] + d1[2] * sum(1 for x in uni.values() if x >= 3)) / t1 if t1 else 1.0
+
+    def level(c, s, d, lower):
+        if s[0] == 0:
+            return lower
+        return max(c - disc(d, c), 0) / s[0] + (d[0] * s[1] + d[1] * s[2] + d[2] * s[3]) / s[0] * lower
+
+    out = []
+    for d, t in rows:
+        p = ["\t", "\t", *toks(t)]
+        score = base = known = 0
+        for i in range(2, len(p)):
+            u, v, w = p[i - 2 : i + 1]
+            p1 = (max(uni[w] - disc(d1, uni[w]), 0) / t1 + g1 / (vocab + 1)) if t1 else 1 / (vocab + 1)
+            p2 = level(bi[(v, w)], ctx2[v], d2, p1)
+            score += math.log10(level(tri[(u, v, w)], ctx3[(u, v)], d3, p2))
+            base += math.log10((raw[w] + 1) / (n + vocab + 1))
+            known += raw[w] > 0
+        out.append((d, held(d), len(p) - 2, known, n, base, score))
+    return out
