@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldstats.llm import archives, chat, decontam, licenses, lm, manifest, mixing, near, secrets, topk, toxicity, urls
+from fieldstats.llm import archives, chat, decontam, licenses, lm, manifest, mixing, near, search, secrets, topk, toxicity, urls
 from fieldstats.session import scratch_path
 
 #: The chain of categories; the last one decides.
@@ -121,6 +121,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce((F.crc32(F.col("doc_id").cast("string")) % 7) == 2, F.lit(False))
@@ -142,6 +146,7 @@ QUERIES = {
         op9_topk,
         op10_chat,
         op11_manifest,
+        op12_search,
         op13_lm_scores,
     )
 }

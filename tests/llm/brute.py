@@ -261,3 +261,36 @@ def lm_scores(rows):
             known += raw[w] > 0
         out.append((d, held(d), len(p) - 2, known, n, base, score))
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(docs, queries, k=20):
+    """docs: (doc_id, text), queries: (item_id, text); op12 as (item_id, rank, doc_id, score)."""
+    toks = [TERM.findall((t or "").translate(UPPER)) for _, t in docs]
+    n_docs, length = sum(1 for t in toks if t), sum(len(t) for t in toks)
+    df = defaultdict(int)
+    for t in toks:
+        for w in set(t):
+            df[w] += 1
+    items = defaultdict(list)
+    for item, text in set(queries):
+        items[item] += TERM.findall((text or "").translate(UPPER))
+    out = []
+    for item, q in items.items():
+        scored = []
+        for (doc_id, _), t in zip(docs, toks):
+            if not t:
+                continue
+            m = 75 + (25 * len(t) * n_docs) // length
+            s = 0
+            for w in q:
+                if df[w]:
+                    tf = t.count(w)
+                    s += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * ((10**9 * tf) // (1000 * tf + 12 * m))
+            if s > 0:
+                scored.append((-s, doc_id is None, doc_id or 0, doc_id, s))
+        scored.sort()
+        out += [(item, r + 1, x[3], x[4]) for r, x in enumerate(scored[:k])]
+    return out
