@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstats.functions.dates import quarter_index, quarter_key
@@ -73,44 +73,50 @@ def with_validity(systems: DataFrame, rules: UtilizationRules) -> DataFrame:
 
 
 def systems_by_account(installbase: DataFrame, accounts: DataFrame, rules: UtilizationRules) -> DataFrame:
-    """One row per account and system name with its system rows in an array.
+    """The system rows of the given accounts with their dates, one row per system row.
 
-    Equal rows are merged first, with their number in ``n_rows``, so an array holds
-    each combination of names, model and quarters once, however many rows a key has.
+    Adds ``start_quarter``, ``start_index``, ``end_index`` (see ``with_validity``) and ``countable``.
     """
     countable = (
         (F.col("type") == "System") & (F.col("systemuse") == "OR") & ~F.col("model").isin(list(rules.uncounted_models))
     )
-    merged = (
-        with_validity(installbase, rules)
-        .withColumn("countable", F.coalesce(countable, F.lit(False)))
-        .groupBy(
-            "accountguid", "name", "accountname", "model", "start_quarter", "start_index", "end_index", "countable"
-        )
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
-    fields = [c for c in merged.columns if c not in ("accountguid", "name")]
-    grouped = merged.groupBy("accountguid", "name").agg(F.collect_list(F.struct(*fields)).alias("systems"))
-    return grouped.join(accounts, "accountguid", "left_semi").withColumn(
-        "listed", F.array_distinct(F.transform("systems", lambda r: F.struct(r["accountname"], r["model"])))
+    rows = with_validity(installbase.join(accounts, "accountguid", "left_semi"), rules)
+    return rows.withColumn("countable", F.coalesce(countable, F.lit(False))).select(
+        "accountguid", "name", "accountname", "model", "start_quarter", "start_index", "end_index", "countable"
     )
 
 
-def _open_rows(quarter: Column) -> Column:
-    return F.filter(
-        "systems",
-        lambda r: r["countable"]
-        & (r["start_index"] <= quarter)
-        & (r["end_index"].isNull() | (quarter < r["end_index"])),
-    )
-
+def installed_counts(systems: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
+    """(keys, quarter_index, n): countable rows installed in each quarter of [first, last] where n > 0.
 
-def _open_count(quarter: Column) -> Column:
-    return F.aggregate(_open_rows(quarter), F.lit(0).cast("bigint"), lambda n, r: n + r["n_rows"])
+    A sweep: every interval, clipped to the range, adds +1 at its start and -1 at its end;
+    the changes are summed per key and quarter (at most one row per quarter, however many
+    intervals a key has), and a running sum in quarter order gives the count, which holds up
+    to the next change.
+    """
+    start = F.greatest(F.col("start_index"), F.lit(first))
+    end = F.least(F.coalesce(F.col("end_index"), F.lit(last + 1)), F.lit(last + 1))
+    spans = systems.where(F.col("countable") & F.col("start_index").isNotNull()).select(*keys, start.alias("s"), end.alias("e")).where(F.col("s") < F.col("e"))
+    deltas = spans.select(*keys, F.col("s").alias("q"), F.lit(1).alias("d")).unionByName(
+        spans.where(F.col("e") <= last).select(*keys, F.col("e").alias("q"), F.lit(-1).alias("d"))
+    )
+    changes = deltas.groupBy(*keys, "q").agg(F.sum("d").alias("d"))
+    order = Window.partitionBy(*keys).orderBy("q")
+    running = changes.select(
+        *keys,
+        "q",
+        F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"),
+        F.coalesce(F.lead("q").over(order), F.lit(last + 1)).alias("next"),
+    )
+    return running.where(F.col("n") > 0).select(
+        *keys, F.explode(F.sequence(F.col("q"), F.col("next") - 1)).alias("quarter_index"), F.col("n").cast("bigint").alias("n")
+    )
 
 
-def _names_listed_with(model: Column) -> Column:
-    return F.size(F.filter("listed", lambda item: item["model"].eqNullSafe(model)))
+def listed_models(systems: DataFrame) -> DataFrame:
+    """(accountguid, name, system_model, n_names): the distinct account names listed with each model of a system."""
+    listed = systems.select("accountguid", "name", "accountname", F.col("model").alias("system_model")).distinct()
+    return listed.groupBy("accountguid", "name", "system_model").agg(F.count(F.lit(1)).alias("n_names"))
 
 
 def installed_by_quarter(systems: DataFrame, rules: UtilizationRules, params: JobParams) -> DataFrame:
@@ -118,20 +124,21 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules, params: Jo
 
     A system is installed from its start quarter up to before its end quarter. Every
     account name listed for a model counts the rows once more, as the distinct
-    listing does.
+    listing does. Counts and the models installed come from sweeps over the intervals.
     """
-    quarter = F.col("quarter_index")
-    spine = calendar_spine(systems, rules.first_year * 4, rules.last_index(params))
-    models = F.array_distinct(F.transform(_open_rows(quarter), lambda r: r["model"]))
-    listed_models = F.array_distinct(F.transform("listed", lambda item: item["model"]))
-    number = _open_count(quarter) * _names_listed_with(F.col("system_model"))
+    first, last = rules.first_year * 4, rules.last_index(params)
+    keys = ["accountguid", "name"]
+    counts = installed_counts(systems, keys, first, last)
+    models = installed_counts(systems, [*keys, "model"], first, last)
+    combination = models.groupBy(*keys, "quarter_index").agg(
+        F.array_join(F.sort_array(F.collect_set("model"), asc=False), ", ").alias("combination")
+    )
+    number = F.col("n") * F.col("n_names")
     return (
-        spine.withColumn("combination", F.array_join(F.sort_array(models, asc=False), ", "))
-        .where(_open_count(quarter) > 0)
-        .withColumn("system_model", F.explode(listed_models))
+        counts.join(combination, [*keys, "quarter_index"])
+        .join(listed_models(systems), keys)
         .select(
-            "accountguid",
-            "name",
+            *keys,
             "system_model",
             "quarter_index",
             number.alias("number_of_ib"),
@@ -144,27 +151,31 @@ def installed_by_quarter(systems: DataFrame, rules: UtilizationRules, params: Jo
 def utilization(tables: Mapping[str, DataFrame], params: JobParams, rules: UtilizationRules) -> DataFrame:
     """Run-rate over last quarter's installed count, per system and quarter; the flag is the offset from the running quarter.
 
-    The system rows are read once: start labels and the counts of this and the last
-    quarter come out of each key's array, so only the run-rates are joined.
+    Installed counts of this and the last quarter come from one sweep per system; the
+    spine of quarters meets them, the distinct name counts, start labels and listed
+    models by key, each a table of at most a few rows per system.
     """
     region = tables["account"].where(F.col("clinicalregion") == params.region).select("accountguid")
     systems = systems_by_account(tables["installbase"], region, rules)
     first, last = rules.first_year * 4, rules.last_index(params)
     keys = ["accountguid", "name", "quarter_index"]
     quarter = F.col("quarter_index")
-
-    def installed(at: Column) -> Column:
-        """The distinct counts over the listed models; none where nothing is installed."""
-        names = F.array_distinct(F.transform("listed", lambda item: _names_listed_with(item["model"])))
-        return F.when((at >= first) & (_open_count(at) > 0), F.transform(names, lambda n: n * _open_count(at)))
-
+    system = ["accountguid", "name"]
+    counts = installed_counts(systems, system, first, last)
+    listed = listed_models(systems)
+    names = listed.select(*system, "n_names").distinct()
+    spine = (
+        calendar_spine(systems.select(*system).distinct(), first, last)
+        .join(counts.withColumnRenamed("n", "cq"), keys, "left")
+        .join(as_prior_period(counts, "quarter_index", {"n": "pq"}), keys, "left")
+        .join(names.withColumnRenamed("n_names", "n1"), system)
+        .join(names.withColumnRenamed("n_names", "n2"), system)
+        .select(*keys, "quarter", (F.col("n1") * F.col("cq")).alias("CQ_IB"), (F.col("n2") * F.col("pq")).alias("PQ_IB"))
+        .distinct()
+    )
     spine = (
-        calendar_spine(systems, first, last)
-        .withColumn("CQ_IB", F.explode_outer(installed(quarter)))
-        .withColumn("PQ_IB", F.explode_outer(installed(quarter - 1)))
-        .withColumn("starts", F.array_distinct(F.transform("systems", lambda r: r["start_quarter"])))
-        .select(*keys, "quarter", "CQ_IB", "PQ_IB", "starts", F.explode("listed").alias("item"))
-        .select(*keys, "quarter", "CQ_IB", "PQ_IB", "item.*", F.explode("starts").alias("InstalldateQ"))
+        spine.join(systems.select(*system, F.col("start_quarter").alias("InstalldateQ")).distinct(), system)
+        .join(systems.select(*system, "accountname", "model").distinct(), system)
         .where(~F.col("model").isin(list(rules.hidden_models)))
     )
     active = (

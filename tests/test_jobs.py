@@ -266,3 +266,24 @@ def test_sinks(spark, tmp_path):
 
 def test_scratch_folders_are_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_installed_counts_sweep_one_hot_key(spark, plan):
+    """100,000 distinct intervals on one system: counts by sweep equal a count per quarter; no list per key."""
+    import numpy as np
+
+    first, last = 8000, 8103
+    rng = np.random.default_rng(7)
+    starts = rng.integers(first - 10, last + 5, 100_000)
+    ends = starts + rng.integers(-2, 60, 100_000)
+    ends = np.where(rng.random(100_000) < 0.2, -1, ends)  # open ends
+    frame = spark.createDataFrame(
+        [(1, "s", int(s), None if e < 0 else int(e), True) for s, e in zip(starts, ends)],
+        "accountguid int, name string, start_index int, end_index int, countable boolean",
+    )
+    got = utilization.installed_counts(frame, ["accountguid", "name"], first, last)
+    assert "collect_list" not in plan(got) and "CartesianProduct" not in plan(got)
+    counted = dict((r["quarter_index"], r["n"]) for r in got.collect())
+    for q in range(first, last + 1):
+        want = int(np.sum((starts <= q) & ((ends < 0) | (q < ends))))
+        assert counted.get(q, 0) == want, q
