@@ -24,24 +24,35 @@ def count_year_before(
     """Append to each anchor row the facts of its key in the year before it.
 
     A fact counts from the same day one year earlier up to the day before the
-    anchor. Facts are first counted per key and day, and anchors are reduced to
-    their distinct dates, so a key meets at most one row per day on either side.
+    anchor. By prefix sums: facts counted per key and day, and each distinct anchor
+    date with its date a year before, are one union; a running sum of facts per key
+    in day order (dates before the facts of the same day) gives every date the facts
+    before it, and an anchor's count is the difference of its two dates. A key's
+    window holds one row per day and per date asked, never facts times anchors.
+    Null keys, anchors or days count nothing.
     """
-    daily = facts.groupBy(key, F.to_date(fact_date).alias("__day")).agg(F.count(fact_id).alias("__facts"))
-    dates = anchors.select(key, anchor).distinct()
-    daily = daily.withColumnRenamed(key, "__key")
-    inside = (
-        (dates[key] == F.col("__key"))
-        & (dates[anchor] > F.col("__day"))
-        & (F.add_months(dates[anchor], -12) <= F.col("__day"))
+    day = F.to_date(fact_date)
+    daily = (
+        facts.where(F.col(key).isNotNull() & day.isNotNull())
+        .groupBy(F.col(key).alias("__key"), day.alias("__day"))
+        .agg(F.count(fact_id).alias("__facts"))
+        .select("__key", "__day", F.lit(1).alias("__kind"), "__facts", F.lit(None).cast("date").alias("__anchor"))
     )
-    counted = (
-        dates.join(daily, inside, "left")
-        .groupBy(dates[key].alias("__key"), dates[anchor].alias("__anchor"))
-        .agg(F.coalesce(F.sum("__facts"), F.lit(0)).alias(alias))
+    dates = anchors.where(F.col(key).isNotNull() & F.col(anchor).isNotNull()).select(F.col(key).alias("__key"), F.col(anchor).alias("__anchor")).distinct()
+    asked = dates.select(
+        "__key",
+        F.explode(F.array(F.col("__anchor"), F.add_months("__anchor", -12))).alias("__day"),
+        F.lit(0).alias("__kind"),
+        F.lit(0).cast("bigint").alias("__facts"),
+        "__anchor",
     )
+    order = Window.partitionBy("__key").orderBy("__day", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = daily.unionByName(asked).withColumn("__before", F.sum("__facts").over(order)).where(F.col("__kind") == 0)
+    sign = F.when(F.col("__day") == F.col("__anchor"), 1).otherwise(-1)
+    counted = before.groupBy("__key", "__anchor").agg(F.sum(sign * F.col("__before")).alias(alias))
     same = anchors[key].eqNullSafe(counted["__key"]) & anchors[anchor].eqNullSafe(counted["__anchor"])
-    return anchors.join(counted, same, "left").drop("__key", "__anchor")
+    joined = anchors.join(counted, same, "left").drop("__key", "__anchor")
+    return joined.withColumn(alias, F.coalesce(F.col(alias), F.lit(0)).cast("bigint"))
 
 
 def as_prior_period(df: DataFrame, index: str, renames: dict[str, str]) -> DataFrame:

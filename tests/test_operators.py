@@ -185,3 +185,23 @@ def test_a_hot_key_gives_the_same_results(spark):
     assert len(counted) == anchors.count()
     for r in counted:
         assert r["n"] == sum(x[2] < r["anchor"] for x in by_key[r["k"]])
+
+
+def test_year_before_anchor_by_prefix_sums_on_one_key(spark, plan):
+    """One key with 60,000 facts over 4,000 days and 4,000 anchors: no range join, counts exact."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = date(1990, 1, 1).toordinal()
+    days = rng.integers(0, 4000, 60_000)
+    anchors_at = rng.choice(4200, 4000, replace=False)
+    facts = spark.createDataFrame([("k", date.fromordinal(base + int(d)), i) for i, d in enumerate(days)], "k string, day date, id int")
+    anchors = spark.createDataFrame([("k", date.fromordinal(base + int(a))) for a in anchors_at], "k string, anchor date")
+    counted = ranges.count_year_before(anchors, facts, "k", "anchor", "day", "id", "n")
+    text = plan(counted)
+    assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
+    ordinal = np.array([date.fromordinal(base + int(d)).toordinal() for d in days])
+    for r in counted.collect():
+        a = r["anchor"]
+        lo = date(a.year - 1, a.month, a.day if not (a.month == 2 and a.day == 29) else 28).toordinal()
+        assert r["n"] == int(np.sum((ordinal >= lo) & (ordinal < a.toordinal()))), a
