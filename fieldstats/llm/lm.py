@@ -56,13 +56,18 @@ def tokens(text: Column) -> Column:
     return F.concat(F.filter(words, lambda w: w != ""), F.array(F.lit(END)))
 
 
-def grams(text: Column) -> Column:
-    """One struct of hashes per token: trigram, its context, last two tokens, previous and own token."""
-    toks = tokens(text)
+def grams(toks: Column) -> Column:
+    """One struct of hashes per token of ``toks``: trigram, its context, last two tokens, previous and own token.
+
+    The two tokens before each one come from shifted copies of the array, zipped with it, so
+    every token is looked at a fixed number of times however long the text.
+    """
+    n = F.size(toks)
     padded = F.concat(F.array(F.lit(START), F.lit(START)), toks)
+    zipped = F.arrays_zip(F.slice(padded, 1, n).alias("u"), F.slice(padded, 2, n).alias("v"), toks.alias("w"))
 
-    def gram(w: Column, i: Column) -> Column:
-        u, v = F.element_at(padded, i + 1), F.element_at(padded, i + 2)
+    def gram(z: Column) -> Column:
+        u, v, w = z["u"], z["v"], z["w"]
         return F.struct(
             F.xxhash64(F.lit(3), u, v, w).alias("h3"),
             F.xxhash64(F.lit(2), u, v).alias("hc"),
@@ -71,7 +76,7 @@ def grams(text: Column) -> Column:
             F.xxhash64(F.lit(1), w).alias("hu"),
         )
 
-    return F.transform(toks, gram)
+    return F.transform(zipped, gram)
 
 
 def _kinds(count: Column) -> list[Column]:
@@ -142,7 +147,7 @@ def _write_sorted(df: DataFrame, key: str, columns: list[str], folder: str) -> l
 
 def fit(spark, docs: DataFrame) -> Model:
     """Count the training texts (``docs``: text) and write the model's arrays."""
-    rows = docs.select(F.explode(grams(F.col("text"))).alias("g")).select("g.*")
+    rows = docs.select(tokens(F.col("text")).alias("toks")).select(F.explode(grams(F.col("toks"))).alias("g")).select("g.*")
     tri = stored(
         rows.groupBy("h3").agg(F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("hc", "hb", "hv", "hu")]), "trigrams"
     )
@@ -244,8 +249,8 @@ def scored(spark, docs: DataFrame, train: Column) -> DataFrame:
     combined there before the only shuffle of scores.
     """
     model = fit(spark, docs.where(train))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    rows = rows.select("row", "doc_id", F.explode(grams(F.col("text"))).alias("g"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", tokens(F.col("text")).alias("toks"))
+    rows = rows.select("row", "doc_id", F.explode(grams(F.col("toks"))).alias("g"))
     per_token = rows.select("row", "doc_id", "g.*").mapInPandas(token_scores(model), "row long, doc_id long, logp double, c long")
     slots = float(model.total + model.vocabulary + 1)
     base = F.log10((F.col("c") + 1) / F.lit(slots))
