@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import time
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame
-from pyspark.sql.functions import lit
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql.functions import count, lit
+from pyspark.sql.functions import max as max_
+from pyspark.sql.types import StructType
+
+#: Column of the run id in a log, and the folder of its commits.
+RUN, COMMITS = "run", "_commits"
 
 
 def evenly_sized(df: DataFrame) -> DataFrame:
@@ -13,21 +23,41 @@ def evenly_sized(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def replace_table(df: DataFrame, name: str, source: str = "parquet") -> None:
-    """Replace a catalog table with the result.
+#: Versions of a replaced table kept beside the current one, for readers still on them.
+KEEP_VERSIONS = 2
+
+
+def _local(path: str) -> str | None:
+    """The path on this machine for a mounted folder, None for other file systems."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:") :].lstrip("/")
+    return None if "://" in path or ":" in path.split("/")[0] else path
 
-    The result is written beside the table and takes its name when it is complete,
-    so a run that fails leaves the old table as it was.
+
+def replace_table(df: DataFrame, name: str, root: str | None = None, keep: int = KEEP_VERSIONS) -> str:
+    """Replace the catalog view ``name`` with the result; returns the folder of the new version.
+
+    The result is written whole to a new version folder under ``root`` (default: the
+    warehouse), and only then does one catalog statement point the view at it, so readers
+    see the old rows or the new ones, and a run that fails leaves the old ones. Nothing is
+    dropped or renamed; versions beyond the last ``keep`` are removed where the folder is
+    mounted on the driver (elsewhere they stay, to be removed by the store's own rules).
     """
-    spark, staging = df.sparkSession, f"{name}__new"
-    spark.sql(f"drop table if exists {staging}")
-    df.write.format(source).saveAsTable(staging)
-    spark.sql(f"drop table if exists {name}")
-    spark.sql(f"alter table {staging} rename to {name}")
+    spark = df.sparkSession
+    base = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + "/" + name.replace(".", "/") + "__versions"
+    version = f"{base}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version)
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    spark.sql(f"create or replace view {quoted} as select * from parquet.`{version}`")
+    local = _local(base)
+    if local and os.path.isdir(local):
+        for old in sorted(v for v in os.listdir(local) if v.startswith("v"))[: -(keep + 1) or None]:
+            shutil.rmtree(os.path.join(local, old), ignore_errors=True)
+    return version
 
 
 def replace_folder(df: DataFrame, path: str) -> None:
-    """Replace a parquet folder with the result."""
+    """Replace a parquet folder with the result (readers of the folder may meet the gap; see ``replace_table``)."""
     df.write.mode("overwrite").parquet(path)
 
 
@@ -36,20 +66,41 @@ def append_snapshot(df: DataFrame, path: str, day: date, column: str = "extract_
     df.withColumn(column, lit(day)).write.mode("append").partitionBy(column).parquet(path)
 
 
-def write_snapshot_once(df: DataFrame, path: str, day: date, column: str = "extract_date") -> None:
-    """As ``append_snapshot``, but a second run on the same day replaces that day only, with nothing if it is empty."""
-    if df.isEmpty():
-        spark = df.sparkSession
-        day_folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={day.isoformat()}")
-        day_folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(day_folder, True)
-        return
-    (
-        df.withColumn(column, lit(day))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+def write_snapshot_once(df: DataFrame, path: str, day: date, column: str = "extract_date") -> str:
+    """Write the day's rows as a new run, then commit it; returns the run id.
+
+    The rows go to their own folder (day, run), which nothing reads before the commit: one
+    row (day, run, rows) appended to ``_commits`` afterwards. ``read_snapshots`` shows each
+    day's last committed run only, so a second run of a day replaces it (with nothing if it is
+    empty), and a run that fails half-way changes nothing. The plan runs once: the row count
+    of the commit is observed while writing.
+    """
+    spark = df.sparkSession
+    run = f"r{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    seen = Observation(f"rows_{uuid.uuid4().hex}")
+    stamped = df.observe(seen, count(lit(1)).alias("rows")).withColumn(column, lit(day)).withColumn(RUN, lit(run))
+    stamped.write.mode("append").partitionBy(column, RUN).parquet(path)
+    commit = spark.createDataFrame([(day, run, int(seen.get.get("rows", 0)))], f"{column} date, {RUN} string, rows bigint")
+    commit.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{COMMITS}")
+    return run
+
+
+def read_snapshots(spark, path: str, schema: str | StructType | None = None, column: str = "extract_date") -> DataFrame:
+    """The log written by ``write_snapshot_once``: for each day, the rows of its last committed run.
+
+    ``schema`` (of the rows, without the day) is needed only where no run has rows yet.
+    """
+    commits = spark.read.parquet(f"{path.rstrip('/')}/{COMMITS}")
+    last = commits.groupBy(column).agg(max_(RUN).alias(RUN))
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException:  # no run has written rows
+        if schema is None:
+            raise
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        rows = spark.createDataFrame([], fields.add(column, "date").add(RUN, "string"))
+    same = (rows[column] == last[column]) & (rows[RUN] == last[RUN])
+    return rows.join(last, same, "left_semi").drop(RUN)
 
 
 def export_dated(df: DataFrame, folder: str, day: date, prefix: str = "MarketData") -> str:

@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -249,9 +250,12 @@ def test_sinks(spark, tmp_path):
     sinks.append_snapshot(one, log, date(2001, 1, 1))
     sinks.append_snapshot(one, log, date(2001, 1, 1))
     assert spark.read.parquet(log).count() == 6
-    sinks.write_snapshot_once(two, log, date(2001, 1, 2))
-    sinks.write_snapshot_once(two, log, date(2001, 1, 2))
-    assert rows(spark.read.parquet(log).groupBy("extract_date").count()) == [(date(2001, 1, 1), 6), (date(2001, 1, 2), 5)]
+    once = str(tmp_path / "once")
+    sinks.write_snapshot_once(one, once, date(2001, 1, 1))
+    sinks.write_snapshot_once(two, once, date(2001, 1, 2))
+    sinks.write_snapshot_once(two, once, date(2001, 1, 2))
+    read = sinks.read_snapshots(spark, once)
+    assert rows(read.groupBy("extract_date").count()) == [(date(2001, 1, 1), 3), (date(2001, 1, 2), 5)] and read.columns == ["id", "extract_date"]
     folder = sinks.export_dated(one, str(tmp_path), date(2001, 1, 2))
     assert folder.endswith("MarketData_2001-01-02") and spark.read.csv(folder, header=True).count() == 3
     sinks.replace_table(one, "fieldstats_sink_check")
@@ -260,8 +264,31 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         sinks.replace_table(one.select(F.raise_error(F.lit("broken")).alias("id")), "fieldstats_sink_check")
     assert spark.table("fieldstats_sink_check").count() == 5  # a failed run leaves the table as it was
-    spark.sql("drop table fieldstats_sink_check")
-    spark.sql("drop table if exists fieldstats_sink_check__new")
+    spark.sql("drop view fieldstats_sink_check")
+
+
+def test_refresh_keeps_readers_on_a_whole_version(spark, tmp_path):
+    """Each refresh writes a new version, then repoints the view; old versions beyond the last two go."""
+    root = str(tmp_path / "w")
+    paths = [sinks.replace_table(spark.range(n).toDF("id"), "fieldstats_versions", root) for n in (1, 2, 3, 4)]
+    reader = spark.table("fieldstats_versions")  # bound to the version of now
+    assert reader.count() == 4
+    assert sorted(os.listdir(tmp_path / "w" / "fieldstats_versions__versions")) == sorted(p.rsplit("/", 1)[1] for p in paths[-3:])
+    spark.sql("drop view fieldstats_versions")
+
+
+def test_day_commits_skip_failed_and_show_empty_runs(spark, tmp_path):
+    """A run that fails half-way is never read; an empty run empties its day; each write runs its plan once."""
+    log, full = str(tmp_path / "log"), spark.range(4).toDF("id")
+    sinks.write_snapshot_once(full, log, date(2001, 1, 1))
+    sinks.write_snapshot_once(full, log, date(2001, 1, 2))
+    broken = full.withColumn("id", F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("half way"))).cast("bigint"))
+    with pytest.raises(Exception, match="half way"):
+        sinks.write_snapshot_once(broken.repartition(4), log, date(2001, 1, 1))
+    sinks.write_snapshot_once(full.limit(0), log, date(2001, 1, 2))
+    got = sinks.read_snapshots(spark, log, "id bigint")
+    assert rows(got.groupBy("extract_date").count()) == [(date(2001, 1, 1), 4)]
+    assert rows(spark.read.parquet(log + "/_commits").select("rows")) == [(0,), (4,), (4,)]
 
 
 def test_scratch_folders_are_fresh(spark):

@@ -9,7 +9,7 @@ from fieldstats.plans.events import event_log
 from fieldstats.plans.market import counts_from_sheet
 from fieldstats.plans.utilization import UtilizationRules
 from fieldstats.sources.readers import read_sheet, read_table
-from fieldstats.sources.sinks import export_dated, write_snapshot_once
+from fieldstats.sources.sinks import export_dated, read_snapshots, write_snapshot_once
 from workload.bindings import PARAMS, SourceTables
 from workload.products import EVENTS, SCORECARD, SNAPSHOT, USAGE, UTILIZATION
 
@@ -22,12 +22,12 @@ def test_daily_refresh_writes_all_tables_and_one_log_day(spark, tmp_path):
     rules = JobRules(usage=USAGE, snapshot=SNAPSHOT, scorecard=SCORECARD, utilization=UTILIZATION, events=EVENTS)
     log = str(tmp_path / "log")
     names = daily_refresh(spark, tables, PARAMS, rules, "fieldstats_runs", log)
-    events = spark.read.parquet(log).count()
+    events = read_snapshots(spark, log).count()
     assert len(names) == 8 and all(spark.table(f"fieldstats_runs.{n}").count() for n in names) and events
     write_snapshot_once(event_log(tables, PARAMS, EVENTS), log, PARAMS.as_of)  # the same day again
-    assert spark.read.parquet(log).count() == events
+    assert read_snapshots(spark, log).count() == events
     assert "Past 1 Year Procedures" in spark.table("fieldstats_runs.surgeon_population_shift").columns
-    assert [r[0] for r in spark.read.parquet(log).select("extract_date").distinct().collect()] == [PARAMS.as_of]
+    assert [r[0] for r in read_snapshots(spark, log).select("extract_date").distinct().collect()] == [PARAMS.as_of]
     spark.sql("drop database fieldstats_runs cascade")
 
 
@@ -77,7 +77,7 @@ def test_a_second_empty_run_clears_its_day(spark, tmp_path):
     path, full = str(tmp_path / "log"), spark.range(3).toDF("id")
     for frame, day in ((full, date(2001, 6, 19)), (full, date(2001, 6, 20)), (full.limit(0), date(2001, 6, 20))):
         write_snapshot_once(frame, path, day)
-    assert [tuple(r) for r in spark.read.parquet(path).groupBy("extract_date").count().collect()] == [(date(2001, 6, 19), 3)]
+    assert [tuple(r) for r in read_snapshots(spark, path, "id bigint").groupBy("extract_date").count().collect()] == [(date(2001, 6, 19), 3)]
 
 
 def test_tables_are_read_with_their_present_schema(spark, tmp_path):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldstats.plans.market import counts_from_responses, counts_from_sheet, first_rows, market_total
 from fieldstats.session import scratch_path
 from fieldstats.sources.readers import matching_codes, read_sheet, read_table, response_items
-from fieldstats.sources.sinks import append_snapshot, export_dated, replace_folder, write_snapshot_once
+from fieldstats.sources.sinks import append_snapshot, export_dated, read_snapshots, replace_table, write_snapshot_once
 from workload.bindings import PARAMS
 from workload.common import AS_OF
 from workload.registry import query
@@ -163,13 +165,18 @@ union all select o_orderpriority, o_orderstatus, count(*), 'export' from orders
 def q_sink_roundtrip(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     result = orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
-    path = scratch_path(spark, "refresh")
-    replace_folder(orders.select("o_orderkey").where("o_orderstatus = 'F'"), path)
-    replace_folder(result, path)  # the second run replaces the first one whole
+    name, root = f"refresh_{uuid.uuid4().hex}", scratch_path(spark, "refresh")
+    replace_table(orders.select("o_orderkey").where("o_orderstatus = 'F'"), name, root)
+    replace_table(result, name, root)  # the second run replaces the first one whole
+    try:  # a run that fails leaves the table as it was
+        replace_table(result.withColumn("n", F.raise_error(F.lit("failed run")).cast("bigint")), name, root)
+    except Exception as error:  # noqa: BLE001
+        if "failed run" not in str(error):
+            raise
     exported = export_dated(result, scratch_path(spark, "export"), PARAMS.as_of)
     schema = "o_orderpriority string, o_orderstatus string, n bigint"
     return (
-        spark.read.parquet(path)
+        spark.table(name)
         .withColumn("sink", F.lit("table"))
         .unionByName(spark.read.schema(schema).csv(exported, header=True).withColumn("sink", F.lit("export")))
     )
@@ -197,6 +204,12 @@ union all select o_orderstatus, count(*), {AS_OF} from orders group by 1""",
 def q_append_idempotent(spark, sf_dir):
     result = read_table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     path = scratch_path(spark, "log")
-    for back in (1, 0, 0):  # the second run of a day replaces that day
-        write_snapshot_once(result, path, PARAMS.as_of.fromordinal(PARAMS.as_of.toordinal() - back))
-    return spark.read.parquet(path)
+    for back, rows in ((1, result), (0, result), (0, result), (2, result), (2, result.limit(0))):
+        # the second run of a day replaces that day; an empty one leaves it empty
+        write_snapshot_once(rows, path, PARAMS.as_of.fromordinal(PARAMS.as_of.toordinal() - back))
+    try:  # a run that fails half-way is never committed
+        write_snapshot_once(result.withColumn("n", F.raise_error(F.lit("failed run")).cast("bigint")), path, PARAMS.as_of)
+    except Exception as error:  # noqa: BLE001
+        if "failed run" not in str(error):
+            raise
+    return read_snapshots(spark, path, "o_orderstatus string, n bigint")
