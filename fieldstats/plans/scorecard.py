@@ -15,6 +15,7 @@ from fieldstats.operators.pivots import counts_where, sums_where
 from fieldstats.operators.ranges import count_year_before
 from fieldstats.operators.ranking import first_row_per_key
 from fieldstats.operators.runrate import projected, run_rate_calendar
+from fieldstats.operators.snapshot import on_date
 from fieldstats.params import JobParams
 
 
@@ -109,9 +110,9 @@ def market_volume(tables: Mapping[str, DataFrame], params: JobParams) -> DataFra
             F.max(F.when(F.col("capital"), F.col("date"))).alias("newest_capital"),
         )
     )
-    latest = cross_one_row(volumes, newest).where(
-        (F.col("date") == F.col("newest_clinical")) & (F.col("date") == F.col("newest_capital"))
-    )
+    # The date is read first, so that the scan of the volumes keeps the rows of one date only.
+    clinical, capital = newest.first()
+    latest = on_date(volumes, "date", clinical if clinical == capital else None)
     return (
         latest.select("accountguid", "proceduresubject", "totalvolume", "date")
         .distinct()

@@ -205,3 +205,12 @@ def test_year_before_anchor_by_prefix_sums_on_one_key(spark, plan):
         a = r["anchor"]
         lo = date(a.year - 1, a.month, a.day if not (a.month == 2 and a.day == 29) else 28).toordinal()
         assert r["n"] == int(np.sum((ordinal >= lo) & (ordinal < a.toordinal()))), a
+
+
+def test_latest_rows_prune_the_scan(spark, tmp_path, plan):
+    """The newest date reaches the parquet scan as a pushed filter; an empty scope gives no rows."""
+    spark.createDataFrame([(1, date(2001, 1, 1)), (2, date(2001, 2, 1)), (3, date(2001, 2, 1))], "v int, d date").write.parquet(str(tmp_path / "s"))
+    frame = spark.read.parquet(str(tmp_path / "s"))
+    latest = snapshot.latest_rows(frame, "d")
+    assert "EqualTo(d,2001-02-01)" in plan(latest).replace(" ", "") and sorted(r[0] for r in latest.collect()) == [2, 3]
+    assert snapshot.latest_rows(frame, "d", scope=frame.where("v > 5")).count() == 0
