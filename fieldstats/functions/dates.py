@@ -87,15 +87,19 @@ def shift_zone(ts: Column, source: str, target: str) -> Column:
 
 
 def near_range(ts: Column, low: date, high: date | None = None) -> Column:
-    """Timestamps from a day before ``low`` to a day after ``high``, on the bare column.
+    """Timestamps from two days before ``low`` to two days after ``high``, on the bare column.
 
-    Zones differ by less than a day, so this holds wherever the shifted timestamp is in
-    the range; unlike that test it reaches the scan.
+    Wall clocks of two zones differ by at most 26 hours (UTC-12 to UTC+14), so this holds
+    wherever the shifted timestamp is in the range; unlike that test it reaches the scan.
     """
-    low_bound = F.lit(low - timedelta(days=1)).cast("timestamp_ntz")
+    low_bound = F.lit(low - timedelta(days=ZONE_MARGIN_DAYS)).cast("timestamp_ntz")
     if high is None:
         return ts >= low_bound
-    return (ts >= low_bound) & (ts < F.lit(high + timedelta(days=1)).cast("timestamp_ntz"))
+    return (ts >= low_bound) & (ts < F.lit(high + timedelta(days=ZONE_MARGIN_DAYS)).cast("timestamp_ntz"))
+
+
+#: Days that cover the largest difference of two zones' wall clocks (26 hours).
+ZONE_MARGIN_DAYS = 2
 
 
 def coalesced_in_range(first: Column, second: Column, low: date, high: date) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,9 +13,13 @@ def cross_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame (a global aggregate) to every row.
 
     The row is always broadcast, whatever its columns hold: Spark takes a global
-    aggregate for a few bytes. The caller answers for the size of its text.
+    aggregate for a few bytes. The caller answers for the size of its text. A frame of
+    more than one row fails the query instead of multiplying ``df``.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    rows = F.count(F.lit(1)).over(Window.partitionBy())
+    many = F.raise_error(F.lit("cross_one_row: the frame holds more than one row"))
+    checked = one_row.withColumn("__rows", rows).where(F.when(F.col("__rows") > 1, many).otherwise(F.lit(True))).drop("__rows")
+    return df.crossJoin(F.broadcast(checked))
 
 
 def keep_members(df: DataFrame, column: str, values: Sequence[str] | DataFrame) -> DataFrame:

@@ -113,3 +113,19 @@ def test_sql_functions(spark):
         "quarter_first_day(date'2001-06-20')"
     ).first()
     assert tuple(row) == ("2001-Q2", 1, date(2001, 4, 1))
+
+
+def test_near_range_holds_for_the_farthest_zones(spark):
+    """A wall clock of UTC+14 shifted to UTC-12 moves 26 hours; the bare range still keeps it."""
+    from datetime import date, datetime
+
+    from pyspark.sql import functions as F
+
+    from fieldstats.functions.dates import near_range, shift_zone
+
+    frame = spark.createDataFrame([(datetime(2001, 3, 30, 23, 0),), (datetime(2001, 7, 2, 1, 0),)], "ts timestamp_ntz")
+    for source, target in (("Pacific/Kiritimati", "Etc/GMT+12"), ("Etc/GMT+12", "Pacific/Kiritimati")):
+        shifted = shift_zone(F.col("ts"), source, target)
+        inside = (shifted >= F.lit(date(2001, 4, 1))) & (shifted < F.lit(date(2001, 7, 1)))
+        assert frame.where(inside & ~near_range(F.col("ts"), date(2001, 4, 1), date(2001, 7, 1))).count() == 0
+        assert frame.where(inside).count() >= 1

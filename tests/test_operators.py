@@ -214,3 +214,10 @@ def test_latest_rows_prune_the_scan(spark, tmp_path, plan):
     latest = snapshot.latest_rows(frame, "d")
     assert "EqualTo(d,2001-02-01)" in plan(latest).replace(" ", "") and sorted(r[0] for r in latest.collect()) == [2, 3]
     assert snapshot.latest_rows(frame, "d", scope=frame.where("v > 5")).count() == 0
+
+
+def test_cross_one_row_refuses_more_rows(spark):
+    frame = spark.range(3)
+    assert lookup.cross_one_row(frame, spark.range(5).agg(F.sum("id").alias("s"))).count() == 3
+    with pytest.raises(Exception, match="more than one row"):
+        lookup.cross_one_row(frame, spark.range(2).toDF("s")).collect()
