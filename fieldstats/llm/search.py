@@ -33,8 +33,8 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Lists of at most this many documents are summed term at a time.
 SHORT = 2048
-#: Documents per block of the document-at-a-time pass.
-BLOCK_DOCS = 50_000
+#: Long-list postings per block of the document-at-a-time pass (a block's task holds them at once).
+BLOCK_POSTINGS = 400_000
 #: Query terms sent to the tasks at once (about: queries are dealt by hash); larger query sets run in several passes.
 BATCH_TERMS = 200_000
 #: Candidates scored between two updates of the threshold.
@@ -43,7 +43,9 @@ K = 20
 
 
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(TERM), 0)
+    """The maximal runs of TERM: the pieces between runs of the other characters."""
+    pieces = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    return F.filter(pieces, lambda p: p != "")
 
 
 def _query_terms(queries: DataFrame) -> DataFrame:
@@ -140,12 +142,16 @@ def search(spark, docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         F.col("doc_id").isNull().alias("null"),
         terms(F.col("text")).alias("t"),
     )
-    post = keyed.select("row", "doc", "null", F.size("t").alias("n"), F.explode("t").alias("term")).join(vocabulary, "term", "left_semi")
-    post = stored(post.groupBy("row", "doc", "null", "n", "term").agg(F.count(F.lit(1)).alias("tf")), "postings")
-    sizes = docs.select(F.size(terms(F.col("text"))).alias("n")).agg(
-        F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L"), F.count(F.lit(1)).alias("rows")
+    # One pass over the texts: a row per (document, query term), and one with a null term per document for N and L.
+    each = keyed.select("row", "doc", "null", F.size("t").alias("n"), F.explode(F.concat("t", F.array(F.lit(None).cast("string")))).alias("term"))
+    asked = vocabulary.select("term", F.lit(True).alias("asked"))
+    each = each.join(asked, "term", "left").where(F.col("term").isNull() | F.col("asked"))
+    counted = stored(each.groupBy("row", "doc", "null", "n", "term").agg(F.count(F.lit(1)).alias("tf")), "postings")
+    sizes = counted.where(F.col("term").isNull()).agg(
+        F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")
     ).first()
-    n_docs, length, rows = int(sizes["N"]), int(sizes["L"]), int(sizes["rows"])
+    post = counted.where(F.col("term").isNotNull())
+    n_docs, length = int(sizes["N"]), int(sizes["L"])
     if not length:
         return _empty(spark)
     df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -155,8 +161,6 @@ def search(spark, docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     impact = F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 12L * m)")
     post = post.join(F.broadcast(stats) if stats.count() <= BATCH_TERMS else stats, "term").withColumn("m", m)
     post = post.select("row", "doc", "null", "term", "df", impact.alias("impact"))
-    blocks = max(1, -(-rows // BLOCK_DOCS))
-    block = F.pmod(F.xxhash64("row"), F.lit(blocks))
 
     found = []
     batches = stored(qterms.join(stats, "term").select("item", "term", "qtf", "df"), "batches")
@@ -168,8 +172,10 @@ def search(spark, docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         long = {}
         for r in batch.where(F.col("df") > SHORT).select("item", "term", "qtf").collect():  # about BATCH_TERMS rows
             long.setdefault(r["item"], []).append((r["term"], int(r["qtf"])))
-        names = F.broadcast(batch.where(F.col("df") > SHORT).select("term").distinct())
-        lp = post.where(F.col("df") > SHORT).join(names, "term", "left_semi")
+        names = F.broadcast(batch.where(F.col("df") > SHORT).select("term", "df").distinct())
+        long_postings = names.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+        block = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-long_postings // BLOCK_POSTINGS))))
+        lp = post.where(F.col("df") > SHORT).join(names.select("term"), "term", "left_semi")
         # Both sides come from the same postings: new names keep the self-join check quiet.
         lp = lp.select(block.alias("block"), *[F.col(c).alias(c) for c in ("row", "doc", "null", "term", "impact")])
         acc = acc.select(block.alias("block"), *[F.col(c).alias(c) for c in ("item", "row", "doc", "null", "acc")])

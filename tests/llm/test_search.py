@@ -31,7 +31,7 @@ QUERIES_ = [(1, "alpha"), (1, "alpha"), (2, "beta gamma beta"), (3, "kappa lambd
 @pytest.mark.parametrize("short,block,chunk", [(2048, 50_000, 2048), (3, 16, 2), (0, 7, 1)])
 def test_against_every_document(spark, tmp_path, monkeypatch, short, block, chunk):
     monkeypatch.setattr(search, "SHORT", short)
-    monkeypatch.setattr(search, "BLOCK_DOCS", block)
+    monkeypatch.setattr(search, "BLOCK_POSTINGS", block)
     monkeypatch.setattr(search, "CHUNK", chunk)
     _write(tmp_path, DOCS, QUERIES_)
     assert _run(spark, tmp_path) == sorted(brute.search(DOCS, QUERIES_), key=repr)
@@ -39,7 +39,7 @@ def test_against_every_document(spark, tmp_path, monkeypatch, short, block, chun
 
 def test_given_tables(spark, monkeypatch):
     monkeypatch.setattr(search, "SHORT", 40)
-    monkeypatch.setattr(search, "BLOCK_DOCS", 64)
+    monkeypatch.setattr(search, "BLOCK_POSTINGS", 64)
     folder = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     queries = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
