@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from fieldstats.operators.runrate import run_rate_calendar
 from fieldstats.params import JobParams
@@ -18,7 +20,7 @@ from fieldstats.plans.procedures import SnapshotRules, duration_population, quar
 from fieldstats.plans.scorecard import ScorecardRules, account_scorecard
 from fieldstats.plans.usage import UsageRules, app_usage
 from fieldstats.plans.utilization import UtilizationRules, utilization
-from fieldstats.sources.readers import code_map, matching_codes, read_responses, read_sheet, repeated_codes, response_quality
+from fieldstats.sources.readers import code_map, matching_codes, quarantined, read_responses, read_sheet, repeated_codes
 from fieldstats.sources.sinks import evenly_sized, export_dated, replace_table, write_snapshot_once
 
 
@@ -52,6 +54,7 @@ class MarketRun:
     unreadable: int
     repeated_matching_codes: int
     repeated_map_codes: int
+    quarantine: str  # the unreadable responses: year, code, reason, body (read again with ``replay``)
 
 
 def daily_products(
@@ -110,20 +113,34 @@ def yearly_market(
     mapping: str,
     folder: str,
     day: date,
+    replay: str | None = None,
 ) -> MarketRun:
     """Market size from landed responses and exported sheets, in a dated folder.
 
     Raises where nothing was landed or a sheet has no rows. Responses that cannot
-    be read and codes that are listed twice are counted in the result.
+    be read are written to a quarantine table beside the export (its path is in the
+    result, and a mended copy can be given back as ``replay``); they and codes that
+    are listed twice are counted in the result.
     """
-    landed = read_responses(spark, responses)
+    landed = read_responses(spark, responses, replay)
     sheets = {"matching": read_sheet(spark, matching), "record": read_sheet(spark, record), "mapping": read_sheet(spark, mapping)}
-    quality = response_quality(landed).first()
+    # One pass over the landed files counts them and writes the unreadable ones aside, with their reason.
+    seen = Observation(f"landed_{day.isoformat()}_{uuid.uuid4().hex}")
+    counted = landed.observe(seen, F.count(F.lit(1)).alias("responses"))
+    quarantine = f"{folder.rstrip('/')}/Quarantine_{day.isoformat()}_{uuid.uuid4().hex[:8]}"
+    aside = Observation(f"unreadable_{day.isoformat()}_{uuid.uuid4().hex}")
+    quarantined(counted).observe(aside, F.count(F.lit(1)).alias("unreadable")).write.parquet(quarantine)
+    quality = {"responses": int(seen.get["responses"]), "unreadable": int(aside.get["unreadable"])}
     empty = [name for name, sheet in sheets.items() if sheet.isEmpty()] + ([] if quality["responses"] else ["responses"])
     if empty:
         raise ValueError(f"no rows in {', '.join(empty)}")
     codes, names = matching_codes(sheets["matching"]), code_map(sheets["mapping"])
     total = market_total(counts_from_responses(landed, codes), counts_from_sheet(sheets["record"], names))
     return MarketRun(
-        export_dated(total, folder, day), quality["responses"], quality["unreadable"], repeated_codes(codes).count(), repeated_codes(names).count()
+        export_dated(total, folder, day),
+        quality["responses"],
+        quality["unreadable"],
+        repeated_codes(codes).count(),
+        repeated_codes(names).count(),
+        quarantine,
     )

@@ -61,9 +61,35 @@ def repeated_codes(codes: DataFrame) -> DataFrame:
     return cleaned.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Landed responses, one JSON line each: ``{"year", "code", "body"}``."""
-    return spark.read.schema("year int, code string, body string").json(path)
+def read_responses(spark: SparkSession, path: str, replay: str | None = None) -> DataFrame:
+    """Landed responses, one JSON line each: ``{"year", "code", "body"}``.
+
+    ``replay``: a quarantine table (see ``quarantined``) whose bodies were mended; its rows
+    are read as landed responses too.
+    """
+    landed = spark.read.schema("year int, code string, body string").json(path)
+    if replay is None:
+        return landed
+    return landed.unionByName(spark.read.parquet(replay).select("year", "code", "body"))
+
+
+def quarantined(responses: DataFrame, body: str = "body") -> DataFrame:
+    """The responses whose items cannot be read, with the other columns, ``reason`` and the body.
+
+    Reasons: ``no body`` (null), ``not json``, ``no items`` (the path to the items is
+    missing or null), ``unreadable items`` (items that are no object or list of objects).
+    These are the rows ``response_items`` skips and ``response_quality`` counts.
+    """
+    text = F.from_json(F.col(body), _ENVELOPE)["response"]["body"]["items"]["item"]
+    items = F.from_json(text, _ITEMS)
+    reason = (
+        F.when(F.col(body).isNull(), "no body")
+        .when(F.get_json_object(F.col(body), "$").isNull(), "not json")
+        .when(text.isNull(), "no items")
+        .otherwise("unreadable items")
+    )
+    kept = [c for c in responses.columns if c != body]
+    return responses.where(items.isNull()).select(*kept, reason.alias("reason"), F.col(body))
 
 
 def response_items(responses: DataFrame, body: str = "body") -> DataFrame:

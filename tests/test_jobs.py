@@ -314,3 +314,19 @@ def test_installed_counts_sweep_one_hot_key(spark, plan):
     for q in range(first, last + 1):
         want = int(np.sum((starts <= q) & ((ends < 0) | (q < ends))))
         assert counted.get(q, 0) == want, q
+
+
+def test_unreadable_responses_are_quarantined_with_their_reason(spark, tmp_path):
+    """Every response that gives no item goes aside once, with why; mended, it reads back as landed."""
+    frame = spark.createDataFrame(BODIES + [(2021, "C3", '{"response":{"body":{"items":{"item":"text"}}}}')], "year int, code string, body string")
+    frame.write.json(str(tmp_path / "landed"))
+    landed = readers.read_responses(spark, str(tmp_path / "landed"))
+    aside = readers.quarantined(landed)
+    assert rows(aside.select("year", "code", "reason")) == [
+        (2020, "C2", "no body"), (2020, "C2", "no items"), (2020, "C2", "not json"), (2021, "C3", "unreadable items"),
+    ]
+    assert aside.count() == readers.response_quality(landed).first()["unreadable"]
+    mended = aside.where("reason = 'no items'").withColumn("body", F.lit('{"response":{"body":{"items":{"item":{"diagCdNm":"x","ptntCnt":4}}}}}'))
+    mended.write.parquet(str(tmp_path / "mended"))
+    again = readers.read_responses(spark, str(tmp_path / "landed"), replay=str(tmp_path / "mended"))
+    assert (2020, "C2", "x", 4) in rows(readers.response_items(again))

@@ -44,6 +44,7 @@ def test_yearly_market_from_files(spark, tmp_path):
     mapping = write("map", [("A010", "Ten"), ("X1", "One"), (" x1", "One")], ["질병군분류(2)", "DRG(포괄수가제 행위 코드)"])
     run = yearly_market(spark, landed, matching, record, mapping, str(tmp_path), date(2025, 1, 2))
     assert (run.responses, run.unreadable, run.repeated_matching_codes, run.repeated_map_codes) == (2, 1, 0, 1)
+    assert [tuple(r) for r in spark.read.parquet(run.quarantine).collect()] == [(2020, "Q1", "not json", "broken")]
     assert rows(spark.read.csv(run.folder, header=True)) == [
         ("DRG", "2019", "A010", "Ten", "0", "1234", "1234"),
         ("DRG", "2020", "A010", "Ten", "0", "0", "0"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstats.plans.market import counts_from_responses, counts_from_sheet, first_rows, market_total
 from fieldstats.session import scratch_path
-from fieldstats.sources.readers import matching_codes, read_sheet, read_table, response_items
+from fieldstats.sources.readers import matching_codes, quarantined, read_sheet, read_table, response_items
 from fieldstats.sources.sinks import append_snapshot, export_dated, read_snapshots, replace_table, write_snapshot_once
 from workload.bindings import PARAMS
 from workload.common import AS_OF
@@ -62,6 +62,22 @@ COUNTS_SQL = """select 'HIRA' as "Source", cast(2019 + event_id % 6 as int) as "
 from events join customer on user_id = c_custkey where value >= 1 and c_mktsegment <> 'MACHINERY' group by 1, 2, 3, 4"""
 
 
+@query(
+    "response_quarantine",
+    f"""with r as (select cast(2019 + event_id % 6 as int) as year, 'C' || user_id as code, {BODY} as body
+  from (select *, regexp_extract(props, '([0-9]+)', 1) as k from events))
+select year, code, case when body is null then 'no body' when not json_valid(body) then 'not json'
+  when json_extract(body, '$.response.body.items.item') is null
+    or json_type(json_extract(body, '$.response.body.items.item')) = 'NULL' then 'no items'
+  else 'unreadable items' end as reason, body
+from r where body is null or not json_valid(body)
+  or json_extract(body, '$.response.body.items.item') is null
+  or json_type(json_extract(body, '$.response.body.items.item')) not in ('OBJECT', 'ARRAY')""",
+)
+def q_response_quarantine(spark, sf_dir):
+    return quarantined(responses(spark, sf_dir))
+
+
 @query("market_json_counts", COUNTS_SQL)
 def q_market_json_counts(spark, sf_dir):
     return counts_from_responses(responses(spark, sf_dir), code_sheet(spark, sf_dir))
