@@ -109,21 +109,26 @@ OPPORTUNITY_COLUMNS = [
 
 @dataclass(frozen=True)
 class EventRules:
-    """Names and ordered patterns of the event log."""
+    """Names and ordered patterns of the event log; the patterns must be given and not be empty."""
 
     # system configuration prefix pattern -> product name, first match wins
-    product_patterns: Sequence[tuple[str, str]] = ()
+    product_patterns: Sequence[tuple[str, str]]
     # pattern over the ordered product list -> product mix, first match wins
-    mix_patterns: Sequence[tuple[str, str]] = ()
+    mix_patterns: Sequence[tuple[str, str]]
+    segment_pattern: str
     other_mix: str = "Others"
     excluded_deal: str = "Non System Deal"
     deal_corrections: tuple[tuple[str, str], ...] = (("Trade-In", "Trade-in"),)
-    segment_pattern: str = "%Top%"
     top_tier: str = "Tier 1"
     meeting_step: str = "Business Alignment Meeting"
     pathway_steps: Sequence[str] = ("Directional QTI", "Peer-to-peer event")
     technology_type: str = "Advanced Technology"
 
+    def __post_init__(self) -> None:
+        missing = [name for name in ("product_patterns", "mix_patterns", "segment_pattern") if not getattr(self, name)]
+        if missing:
+            raise ValueError(f"EventRules needs {', '.join(missing)}")
+
 
 def product_mix(lines: DataFrame, rules: EventRules) -> DataFrame:
     """Per opportunity: ordered deal types and the label of its product mix."""

@@ -21,15 +21,20 @@ from fieldstats.params import JobParams
 
 @dataclass(frozen=True)
 class SnapshotRules:
-    """Lists the procedure products depend on."""
+    """Lists the procedure products depend on; the first three must be given and not be empty."""
 
-    growth_classes: Sequence[str] = ()
-    training_type: str = ""
+    growth_classes: Sequence[str]
+    training_type: str
+    growth_category: str
     training_role: str = "Surgeon"
     training_since: date = date(2019, 1, 1)
-    growth_category: str = ""
     onsite_status: str = "OnSite"
 
+    def __post_init__(self) -> None:
+        missing = [name for name in ("growth_classes", "training_type", "growth_category") if not getattr(self, name)]
+        if missing:
+            raise ValueError(f"SnapshotRules needs {', '.join(missing)}")
+
 
 def prior_quarter_cohort(procedures: DataFrame, params: JobParams) -> DataFrame:
     """Tier of each surgeon id by its completed cases of the previous quarter."""

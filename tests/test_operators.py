@@ -221,3 +221,15 @@ def test_cross_one_row_refuses_more_rows(spark):
     assert lookup.cross_one_row(frame, spark.range(5).agg(F.sum("id").alias("s"))).count() == 3
     with pytest.raises(Exception, match="more than one row"):
         lookup.cross_one_row(frame, spark.range(2).toDF("s")).collect()
+
+
+def test_rules_that_must_be_given():
+    from fieldstats.plans.events import EventRules
+    from fieldstats.plans.procedures import SnapshotRules
+
+    with pytest.raises(TypeError):
+        EventRules()
+    with pytest.raises(ValueError, match="segment_pattern"):
+        EventRules(product_patterns=(("a%", "A"),), mix_patterns=(("%A%", "A"),), segment_pattern="")
+    with pytest.raises(ValueError, match="growth_classes"):
+        SnapshotRules(growth_classes=(), training_type="t", growth_category="g")
