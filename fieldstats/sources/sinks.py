@@ -103,6 +103,18 @@ def read_snapshots(spark, path: str, schema: str | StructType | None = None, col
     return rows.join(last, same, "left_semi").drop(RUN)
 
 
+def bucketed_copy(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a catalog table bucketed and sorted by ``key``; returns the table.
+
+    Tables bucketed by the same key into the same number of buckets are joined and grouped on
+    that key without a shuffle: each bucket of one meets the same bucket of the other. Written
+    once, such copies serve every later query on the key; choose ``buckets`` near table size /
+    200 MB, the same for all tables that meet.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def export_dated(df: DataFrame, folder: str, day: date, prefix: str = "MarketData") -> str:
     """Write CSV files to a folder named after the day; returns the folder."""
     path = f"{folder.rstrip('/')}/{prefix}_{day.isoformat()}"

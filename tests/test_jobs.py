@@ -330,3 +330,17 @@ def test_unreadable_responses_are_quarantined_with_their_reason(spark, tmp_path)
     mended.write.parquet(str(tmp_path / "mended"))
     again = readers.read_responses(spark, str(tmp_path / "landed"), replay=str(tmp_path / "mended"))
     assert (2020, "C2", "x", 4) in rows(readers.response_items(again))
+
+
+def test_bucketed_copies_join_and_group_without_exchange(spark, plan):
+    """Two tables bucketed on the same key into as many buckets: the join and the grouping read no shuffle."""
+    from workload.registry import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to broadcast
+    try:
+        got = QUERIES["join_bucketed"](spark, "/root/testdata/sf0.001")
+        text = plan(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey").distinct().count()

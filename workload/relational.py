@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +25,15 @@ from fieldstats.operators.tiers import DETAILED_TIERS, MODEL_TIERS, POPULATION_T
 from fieldstats.plans.events import product_mix
 from fieldstats.plans.utilization import installed_by_quarter, systems_by_account, with_validity
 from fieldstats.sources.readers import read_table
+from fieldstats.sources.sinks import bucketed_copy
 from workload.bindings import PARAMS, SourceTables, as_ctes
 from workload.common import order_day, ship_day, AS_OF, NEXT_QUARTER, QUARTER_FIRST, REGION, bins, key_of
 from workload.products import EVENTS, INSTALLED_SQL, LINES_SQL, START_SQL, UTILIZATION
 from workload.registry import query
 
+#: Buckets of the copies that the bucketed join reads (the same for both tables).
+BUCKETS = 8
+
 
 # ------------------------------------------------------- projections and filters
 
@@ -339,6 +345,23 @@ def q_join_left_filtered(spark, sf_dir):
     )
 
 
+@query(
+    "join_bucketed",
+    """select o_orderkey, o_orderpriority, count(*) as lines, sum(l_quantity) as quantity
+  from orders join lineitem on o_orderkey = l_orderkey group by 1, 2""",
+)
+def q_join_bucketed(spark, sf_dir):
+    """Orders and their lines from copies bucketed on the order key: join and grouping shuffle nothing."""
+    tag = uuid.uuid4().hex[:12]
+    orders = bucketed_copy(read_table(spark, sf_dir, "orders"), f"orders_by_key_{tag}", "o_orderkey", BUCKETS)
+    lines = bucketed_copy(read_table(spark, sf_dir, "lineitem"), f"lineitem_by_key_{tag}", "l_orderkey", BUCKETS)
+    return (
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .groupBy("o_orderkey", "o_orderpriority")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+    )
+
+
 @query(
     "join_full",
     """select u.user_id, v.c_custkey, u.n as events, v.n as orders from
