@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import os
 import shutil
+from collections.abc import Callable
 import time
 import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql.functions import count, lit
+from pyspark.sql import Column
+from pyspark.sql.functions import col, count, lit, shiftright, when, xxhash64
 from pyspark.sql.functions import max as max_
+from pyspark.sql.functions import sum as sum_
 from pyspark.sql.types import StructType
 
 #: Column of the run id in a log, and the folder of its commits.
 RUN, COMMITS = "run", "_commits"
+#: Folders beside a result refreshed by quarter: input fingerprints, quarters left empty.
+FINGERPRINTS, EMPTY = "_fingerprints", "_empty"
 
 
 def evenly_sized(df: DataFrame) -> DataFrame:
@@ -103,6 +108,66 @@ def read_snapshots(spark, path: str, schema: str | StructType | None = None, col
     return rows.join(last, same, "left_semi").drop(RUN)
 
 
+def quarter_fingerprints(df: DataFrame, quarter: Column) -> DataFrame:
+    """(quarter_index, rows, digest) of the input: a row count and an order-free sum of row hashes per quarter.
+
+    The hashes are cut to their top 31 bits, so the sum cannot overflow below 2^32 rows a quarter.
+    """
+    return df.groupBy(quarter.alias("quarter_index")).agg(
+        count(lit(1)).alias("rows"), sum_(shiftright(xxhash64(*[col(c) for c in df.columns]), 33)).alias("digest")
+    )
+
+
+def refresh_touched(
+    build: Callable[[list[int]], DataFrame],
+    inputs: DataFrame,
+    input_quarter: Column,
+    path: str,
+    reach: int = 0,
+) -> list[int]:
+    """Rewrite only the quarters of a result partitioned by ``quarter_index`` whose input changed; returns them.
+
+    The input is fingerprinted per quarter (one small aggregate, a row per quarter) and compared
+    with the fingerprints of the last run. A changed, new or vanished input quarter q touches the
+    result quarters q to q + ``reach`` (``reach``: how far a result looks back, e.g. 4 for
+    trailing years). ``build(quarters)`` returns the result rows of those quarters; they replace
+    their partitions (dynamic overwrite) and nothing else is written. Touched quarters left
+    without rows are listed in ``_empty`` and hidden by ``read_refreshed``. The fingerprints are
+    stored last, so a failed run is redone whole by the next one.
+    """
+    spark = inputs.sparkSession
+    base = path.rstrip("/")
+    now = {r["quarter_index"]: (r["rows"], r["digest"]) for r in quarter_fingerprints(inputs, input_quarter).collect()}
+    try:
+        before = {r["quarter_index"]: (r["rows"], r["digest"]) for r in spark.read.parquet(f"{base}/{FINGERPRINTS}").collect()}
+    except AnalysisException:  # the first run
+        before = {}
+    changed = {q for q in now.keys() | before.keys() if now.get(q) != before.get(q)}
+    touched = sorted({q + k for q in changed for k in range(reach + 1)})
+    if not touched:
+        return []
+    out = build(touched).where(col("quarter_index").isin(touched))
+    seen = Observation(f"refresh_{uuid.uuid4().hex}")
+    counted = out.observe(seen, *[count(when(col("quarter_index") == q, 1)).alias(f"q{q}") for q in touched])
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter_index").parquet(base)
+    empty = {q for q in touched if not seen.get.get(f"q{q}", 0)}
+    try:
+        empty |= {r["quarter_index"] for r in spark.read.parquet(f"{base}/{EMPTY}").collect()} - set(touched)
+    except AnalysisException:
+        pass
+    spark.createDataFrame([(q,) for q in sorted(empty)], "quarter_index int").coalesce(1).write.mode("overwrite").parquet(f"{base}/{EMPTY}")
+    rows = [(q, n, d) for q, (n, d) in sorted(now.items())]
+    spark.createDataFrame(rows, "quarter_index int, rows bigint, digest bigint").coalesce(1).write.mode("overwrite").parquet(f"{base}/{FINGERPRINTS}")
+    return touched
+
+
+def read_refreshed(spark, path: str) -> DataFrame:
+    """The result kept by ``refresh_touched``, without quarters whose last refresh left no rows."""
+    base = path.rstrip("/")
+    rows = spark.read.parquet(base)
+    return rows.join(spark.read.parquet(f"{base}/{EMPTY}"), "quarter_index", "left_anti")
+
+
 def bucketed_copy(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` as a catalog table bucketed and sorted by ``key``; returns the table.
 

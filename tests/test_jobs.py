@@ -344,3 +344,22 @@ def test_bucketed_copies_join_and_group_without_exchange(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in text and "SortMergeJoin" in text
     assert got.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey").distinct().count()
+
+
+def test_refresh_rewrites_touched_quarters_only(spark, tmp_path):
+    """A second run rewrites the quarters whose input changed (and those that look back at them); a vanished one is hidden."""
+    path = str(tmp_path / "r")
+    data = [(q, v) for q in (8000, 8001, 8002, 8003) for v in range(3)]
+
+    def build(frame):
+        return lambda quarters: frame.where(F.col("q").isin(quarters)).groupBy(F.col("q").alias("quarter_index")).agg(F.sum("v").alias("s"))
+
+    first = spark.createDataFrame(data, "q int, v int")
+    assert sinks.refresh_touched(build(first), first, F.col("q"), path) == [8000, 8001, 8002, 8003]
+    stamp = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "r").glob("quarter_index=*/*.parquet")}
+    second = spark.createDataFrame([r for r in data if r[0] != 8003] + [(8001, 10)], "q int, v int")
+    assert sinks.refresh_touched(build(second), second, F.col("q"), path, reach=1) == [8001, 8002, 8003, 8004]
+    assert sinks.refresh_touched(build(second), second, F.col("q"), path) == []
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "r" / "quarter_index=8000").glob("*.parquet")}
+    assert kept and all(stamp[name] == t for name, t in kept.items())
+    assert rows(sinks.read_refreshed(spark, path)) == [(8000, 3), (8001, 13), (8002, 3)]
