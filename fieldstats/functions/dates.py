@@ -122,3 +122,8 @@ def register_sql_functions(spark: SparkSession) -> None:
         "return trunc(d, 'quarter')",
     ):
         spark.sql(statement)
+
+
+def extract_stamp(params) -> Column:
+    """The time of the extract as a timestamp without zone (the wall clock the run was given)."""
+    return F.lit(params.extract_stamp.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -7,7 +7,7 @@ all date limits reach the plan as literals (which Spark pushes into scans).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 
 def add_months_first(first_of_month: date, months: int) -> date:
@@ -31,6 +31,12 @@ class JobParams:
     history_years: int = 4
     source_zone: str = "GMT"
     local_zone: str = "UTC"
+    # when the extract was taken, stamped on the rows of the dated products; default: the start of the run date
+    extracted_at: datetime | None = None
+
+    @property
+    def extract_stamp(self) -> datetime:
+        return self.extracted_at or datetime.combine(self.as_of, time())
 
     @property
     def quarter_first(self) -> date:

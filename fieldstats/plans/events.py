@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldstats.functions.dates import near_range, quarter_key, shift_zone
+from fieldstats.functions.dates import extract_stamp, near_range, quarter_key, shift_zone
 from fieldstats.functions.text import first_like
 from fieldstats.operators.combine import union_to_schema
 from fieldstats.operators.lists import distinct_lists
@@ -21,7 +21,7 @@ EVENT_LOG = T.StructType(
         T.StructField(name, kind)
         for kind, names in (
             (T.StringType(), ["CAPITAL_OR_CLINICAL"]),
-            (T.DateType(), ["ExtractedDate"]),
+            (T.TimestampNTZType(), ["ExtractedDate"]),
             (T.StringType(), ["activityid", "relatedtoid", "RelatedObjectType", "OpportunityName"]),
             (T.DateType(), ["CloseDate"]),
             (T.StringType(), ["CloseQuarter"]),
@@ -183,7 +183,7 @@ def capital_events(tables: Mapping[str, DataFrame], params: JobParams, rules: Ev
     )
     return rows.select(
         F.lit("Capital").alias("CAPITAL_OR_CLINICAL"),
-        F.lit(params.as_of).alias("ExtractedDate"),
+        extract_stamp(params).alias("ExtractedDate"),
         "activityid",
         "relatedtoid",
         F.col("relatedobjecttype").alias("RelatedObjectType"),
@@ -291,7 +291,7 @@ def clinical_events(tables: Mapping[str, DataFrame], params: JobParams, rules: E
     meeting = (F.col("relatedobjecttype") == "Opportunity") & (F.col("salesstep") == rules.meeting_step)
     return rows.select(
         F.lit("Clinical").alias("CAPITAL_OR_CLINICAL"),
-        F.lit(params.as_of).alias("ExtractedDate"),
+        extract_stamp(params).alias("ExtractedDate"),
         "activityid",
         "relatedtoid",
         F.col("relatedobjecttype").alias("RelatedObjectType"),

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstats.functions.dates import coalesced_in_range, index_key, quarter_index, quarter_key, week_index, week_of_quarter
+from fieldstats.functions.dates import coalesced_in_range, extract_stamp, index_key, quarter_index, quarter_key, week_index, week_of_quarter
 from fieldstats.functions.text import in_class
 from fieldstats.operators.lookup import cross_one_row
 from fieldstats.operators.pivots import sums_where
@@ -151,7 +151,7 @@ def quarter_snapshot(tables: Mapping[str, DataFrame], params: JobParams, rules:
         surgeon, F.col("surgeonguid") == F.col("contactguid"), "left"
     )
     return rows.select(
-        F.lit(params.as_of).alias("ExtractedDate"),
+        extract_stamp(params).alias("ExtractedDate"),
         F.col("businesscategoryname").alias("BusinessCategory"),
         F.col("subject").alias("Subject"),
         F.col("procedurename").alias("ProcedureName"),

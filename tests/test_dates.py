@@ -129,3 +129,15 @@ def test_near_range_holds_for_the_farthest_zones(spark):
         inside = (shifted >= F.lit(date(2001, 4, 1))) & (shifted < F.lit(date(2001, 7, 1)))
         assert frame.where(inside & ~near_range(F.col("ts"), date(2001, 4, 1), date(2001, 7, 1))).count() == 0
         assert frame.where(inside).count() >= 1
+
+
+def test_extract_stamp_is_the_given_time(spark):
+    from datetime import date, datetime
+
+    from fieldstats.functions.dates import extract_stamp
+    from fieldstats.params import JobParams
+
+    stamped = JobParams(as_of=date(2001, 6, 20), region="r", extracted_at=datetime(2001, 6, 20, 6, 30, 15))
+    plain = JobParams(as_of=date(2001, 6, 20), region="r")
+    got = spark.range(1).select(extract_stamp(stamped).alias("a"), extract_stamp(plain).alias("b")).first()
+    assert (got["a"], got["b"]) == (datetime(2001, 6, 20, 6, 30, 15), datetime(2001, 6, 20))

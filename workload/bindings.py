@@ -7,7 +7,7 @@ Each binding is one plain SQL text in a form that Spark and DuckDB both read;
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +24,7 @@ PARAMS = JobParams(
     spine_floor=date(1996, 1, 1),
     source_zone="GMT",
     local_zone="Asia/Seoul",
+    extracted_at=datetime(2001, 6, 20, 6, 30, 15),
 )
 
 _CUSTOMER = """{customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey"""

@@ -33,6 +33,7 @@ def ship_day() -> Column:
 
 # Literals of the run date for the SQL checks.
 AS_OF = f"date '{PARAMS.as_of}'"
+EXTRACTED_AT = f"timestamp '{PARAMS.extract_stamp.isoformat(sep=' ')}'"
 QUARTER_FIRST = f"date '{PARAMS.quarter_first}'"
 NEXT_QUARTER = f"date '{PARAMS.next_quarter_first}'"
 PREVIOUS_QUARTER = f"date '{PARAMS.previous_quarter_first}'"
