@@ -94,3 +94,44 @@ def access_list_region(tables: Mapping[str, DataFrame], params: JobParams, separ
     rows = accounts.join(tables["account_team"].select("accountguid"), "accountguid", "left")
     rows = cross_one_row(rows, everyone(role_lists(tables, params), separator))
     return rows.select("accountid", "accountguid", "ALLUSERS", "csdnetworkid", "csmnetworkid", "csrnetworkid")
+
+
+def _led(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame:
+    """(level, leader, role, networkid): each person listed under a leader, from the region's team rows, once."""
+    accounts = tables["account"].where(
+        (F.col("recordtype") == params.record_type) & (F.col("capitalregion") == params.region)
+    )
+    team = tables["account_team"].join(accounts.select("accountguid"), "accountguid")
+    pairs = [
+        F.struct(
+            F.lit(level).alias("level"),
+            F.col(f"{level}networkid").cast("string").alias("leader"),
+            F.lit(role).alias("role"),
+            F.col(f"{role}networkid").cast("string").alias("networkid"),
+        )
+        for level, roles in SUBORDINATES.items()
+        for role in roles
+    ]
+    led = team.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    return led.where(F.col("leader").isNotNull() & F.col("networkid").isNotNull()).distinct()
+
+
+def access_rows(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame:
+    """Who may see each account, as rows: (accountid, accountguid, level, role, networkid).
+
+    The row form of ``access_list``'s WHOCANACCESS: every person listed under one of the
+    account's leaders, once per account. No list of a level is built as one text, so no task
+    holds more than the persons of one leader; the text is joined, if at all, by the reader.
+    """
+    accounts = tables["account"].where(F.col("recordtype") == params.record_type).select("accountid", "accountguid")
+    leaders = tables["account_team"].select(
+        "accountguid",
+        F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(f"{level}networkid").cast("string").alias("leader")) for level in SUBORDINATES])).alias("l"),
+    ).select("accountguid", "l.*")
+    rows = accounts.join(leaders, "accountguid").join(_led(tables, params), ["level", "leader"])
+    return rows.select("accountid", "accountguid", "level", "role", "networkid").distinct()
+
+
+def access_users(tables: Mapping[str, DataFrame], params: JobParams) -> DataFrame:
+    """ALLUSERS as a table: (level, role, networkid) of every person listed under any leader."""
+    return _led(tables, params).select("level", "role", "networkid").distinct()

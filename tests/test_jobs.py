@@ -363,3 +363,19 @@ def test_refresh_rewrites_touched_quarters_only(spark, tmp_path):
     kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "r" / "quarter_index=8000").glob("*.parquet")}
     assert kept and all(stamp[name] == t for name, t in kept.items())
     assert rows(sinks.read_refreshed(spark, path)) == [(8000, 3), (8001, 13), (8002, 3)]
+
+
+def test_access_rows_hold_the_persons_of_the_text(spark):
+    """The row form lists, per account, exactly the ids that WHOCANACCESS joins into text; ALLUSERS' ids are the users' table."""
+    from workload.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    text = {}
+    for r in QUERIES["access_list"](spark, folder).collect():
+        text.setdefault(r["accountguid"], set()).update(x for x in r["WHOCANACCESS"].split(", ") if x)
+    listed = {}
+    for r in QUERIES["access_rows"](spark, folder).collect():
+        listed.setdefault(r["accountguid"], set()).add(r["networkid"])
+    assert {k: v for k, v in text.items() if v} == listed and listed
+    users = {r["networkid"] for r in QUERIES["access_users"](spark, folder).collect()}
+    assert users >= set().union(*listed.values())
