@@ -259,7 +259,14 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Read-back records with refers_to, the page_id of the response that a revisit names."""
-    named = records.where("refers_id is not null").select(F.col("refers_id").alias("record_id")).distinct()
+    """Read-back records with refers_to, the page_id of the response that a revisit names.
+
+    Responses pass through with no join; only revisits meet the responses they name, so
+    the many records without a key never gather in one task. Give records that are stored
+    (they are read three times).
+    """
+    revisits = records.where(F.col("refers_id").isNotNull())
+    named = revisits.select(F.col("refers_id").alias("record_id")).distinct()
     target = records.join(named, "record_id").select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"))
-    return records.join(target, "refers_id", "left")
+    plain = records.where(F.col("refers_id").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
+    return plain.unionByName(revisits.join(target, "refers_id", "left"))

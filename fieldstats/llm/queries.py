@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldstats.llm import archives, chat, decontam, licenses, lm, manifest, mixing, near, search, secrets, topk, toxicity, urls
+from fieldstats.llm.components import stored
 from fieldstats.session import scratch_path
 
 #: The chain of categories; the last one decides.
@@ -58,7 +59,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     archives.write_arc(table(spark, sf_dir, "pages"), arc)
     archives.convert(spark, arc, warc)
-    back = archives.resolved(archives.read_warc(spark, warc))
+    back = archives.resolved(stored(archives.read_warc(spark, warc), "warc-heads"))  # the archives are parsed once
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
