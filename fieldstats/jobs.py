@@ -20,7 +20,8 @@ from fieldstats.plans.procedures import SnapshotRules, duration_population, quar
 from fieldstats.plans.scorecard import ScorecardRules, account_scorecard
 from fieldstats.plans.usage import UsageRules, app_usage
 from fieldstats.plans.utilization import UtilizationRules, utilization
-from fieldstats.sources.readers import code_map, matching_codes, quarantined, read_responses, read_sheet, repeated_codes
+from fieldstats.operators.lookup import key_report
+from fieldstats.sources.readers import code_map, joined_codes, matching_codes, quarantined, read_responses, read_sheet
 from fieldstats.sources.sinks import evenly_sized, export_dated, replace_table, write_snapshot_once
 
 
@@ -55,6 +56,7 @@ class MarketRun:
     repeated_matching_codes: int
     repeated_map_codes: int
     quarantine: str  # the unreadable responses: year, code, reason, body (read again with ``replay``)
+    keys: tuple = ()  # key counters of the code sheets, one dict per sheet (see ``key_report``)
 
 
 def daily_products(
@@ -136,11 +138,17 @@ def yearly_market(
         raise ValueError(f"no rows in {', '.join(empty)}")
     codes, names = matching_codes(sheets["matching"]), code_map(sheets["mapping"])
     total = market_total(counts_from_responses(landed, codes), counts_from_sheet(sheets["record"], names))
+    # Both sheets' key counters in one job: codes listed twice, and codes of the map the matching sheet lacks.
+    checks = key_report("matching", joined_codes(codes), ["code"]).unionByName(
+        key_report("mapping", joined_codes(names), ["code"], joined_codes(codes), ["code"])
+    )
+    keys = {r["table_name"]: r.asDict() for r in checks.collect()}
     return MarketRun(
         export_dated(total, folder, day),
         quality["responses"],
         quality["unreadable"],
-        repeated_codes(codes).count(),
-        repeated_codes(names).count(),
+        keys["matching"]["repeated_keys"],
+        keys["mapping"]["repeated_keys"],
         quarantine,
+        (keys["matching"], keys["mapping"]),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,3 +64,46 @@ def with_overrides(
     df = df.withColumn(name, F.coalesce(*chosen, default) if chosen else default)
     extra = [c for c in df.columns if c.startswith(("__k", "__new"))]
     return df.drop(*extra)
+
+
+def key_report(
+    name: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    parent: DataFrame | None = None,
+    parent_keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Uniqueness and foreign-key counters of a keyed lookup table, as one row.
+
+    Columns: table_name; rows; null_keys (rows with a null in a key column, which a join
+    never matches); distinct_keys and repeated_keys (keys listed once or more, and more than
+    once); extra_rows (rows beyond the first of each key: what a join on the table would
+    multiply); orphan_keys (known keys the parent does not hold; null without a parent).
+    An empty table gives one row of zeros.
+
+    One pass: the rows are grouped on their keys (partially before the shuffle), the
+    grouped keys meet the parent's distinct keys in one join, and a global aggregate counts.
+    Keys are renamed inside, so the tables may hold columns of any other names.
+    """
+    parent_keys = list(parent_keys or keys)
+    if parent is not None and len(parent_keys) != len(keys):
+        raise ValueError("key_report: the parent needs as many key columns as the table")
+    renamed = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
+    unknown = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    grouped = rows.groupBy(unknown.alias("__null"), *renamed).agg(F.count(F.lit(1)).alias("__n"))
+    known = ~F.col("__null")
+    if parent is None:
+        orphans = F.lit(None).cast("long")
+    else:
+        held = parent.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(parent_keys)]).distinct()
+        grouped = grouped.join(held.withColumn("__held", F.lit(True)), [f"__k{i}" for i in range(len(keys))], "left")
+        orphans = F.count(F.when(known & F.col("__held").isNull(), 1))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return grouped.agg(
+        total(F.col("__n")).alias("rows"),
+        total(F.when(F.col("__null"), F.col("__n"))).alias("null_keys"),
+        F.count(F.when(known, 1)).cast("long").alias("distinct_keys"),
+        F.count(F.when(known & (F.col("__n") > 1), 1)).cast("long").alias("repeated_keys"),
+        total(F.when(known & (F.col("__n") > 1), F.col("__n") - 1)).alias("extra_rows"),
+        orphans.cast("long").alias("orphan_keys"),
+    ).select(F.lit(name).alias("table_name"), "*")

@@ -55,9 +55,14 @@ def code_map(sheet: DataFrame, columns: tuple[str, str] = CODE_MAP_COLUMNS) -> D
     return sheet.select(F.col(f"`{code}`").alias("code"), F.col(f"`{name}`").alias("name"))
 
 
+def joined_codes(codes: DataFrame) -> DataFrame:
+    """(code,) of a sheet's codes compared as the joins do: trimmed and upper-cased."""
+    return codes.select(stripped(F.upper("code")).alias("code"))
+
+
 def repeated_codes(codes: DataFrame) -> DataFrame:
     """(code, n) of the codes that a sheet lists more than once, compared as the joins do."""
-    cleaned = codes.select(stripped(F.upper("code")).alias("code")).where(F.col("code").isNotNull())
+    cleaned = joined_codes(codes).where(F.col("code").isNotNull())
     return cleaned.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 

@@ -233,3 +233,28 @@ def test_rules_that_must_be_given():
         EventRules(product_patterns=(("a%", "A"),), mix_patterns=(("%A%", "A"),), segment_pattern="")
     with pytest.raises(ValueError, match="growth_classes"):
         SnapshotRules(growth_classes=(), training_type="t", growth_category="g")
+
+
+def test_key_report_counts_nulls_repeats_and_orphans(spark):
+    from fieldstats.operators.lookup import key_report
+
+    rows = spark.createDataFrame(
+        [("a", "x", 1), ("a", "x", 2), ("a", "x", 3), ("b", "x", 4), (None, "x", 5), ("c", None, 6), ("z", "y", 7)],
+        "k string, j string, __n long",
+    )
+    parent = spark.createDataFrame([("a", "x", 0), ("b", "x", 0), ("b", "x", 0)], "pk string, pj string, __k0 long")
+    r = key_report("t", rows, ["k", "j"], parent, ["pk", "pj"]).first().asDict()
+    # keys a/x (three rows), b/x, z/y; two rows with a null key part; z/y is not in the parent
+    assert r == {"table_name": "t", "rows": 7, "null_keys": 2, "distinct_keys": 3, "repeated_keys": 1, "extra_rows": 2, "orphan_keys": 1}
+    plain = key_report("t", rows, ["k"]).first().asDict()
+    assert (plain["distinct_keys"], plain["repeated_keys"], plain["null_keys"], plain["orphan_keys"]) == (4, 1, 1, None)
+
+
+def test_key_report_on_an_empty_table_is_zeros(spark):
+    from fieldstats.operators.lookup import key_report
+
+    empty = spark.createDataFrame([], "k string")
+    r = key_report("e", empty, ["k"], empty, ["k"]).collect()
+    assert [x.asDict() for x in r] == [
+        {"table_name": "e", "rows": 0, "null_keys": 0, "distinct_keys": 0, "repeated_keys": 0, "extra_rows": 0, "orphan_keys": 0}
+    ]

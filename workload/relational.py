@@ -11,7 +11,7 @@ from fieldstats.functions.dates import coalesced_in_range, quarter_index, quarte
 from fieldstats.functions.text import first_like, in_class
 from fieldstats.operators.combine import union_to_schema
 from fieldstats.operators.lists import distinct_lists
-from fieldstats.operators.lookup import cross_one_row, drop_members, keep_members
+from fieldstats.operators.lookup import cross_one_row, drop_members, keep_members, key_report
 from fieldstats.operators.pivots import counts_where, firsts_where, sums_where
 from fieldstats.operators.ranges import (
     as_prior_period,
@@ -252,6 +252,57 @@ def q_override_dates(spark, sf_dir):
     )
 
 
+def _key_report_sql(name: str, rows: str, keys: list[str], parent: str | None = None) -> str:
+    """The counters of ``key_report`` for one table in SQL; ``parent`` selects the same key columns."""
+    cols = ", ".join(keys)
+    unknown = " or ".join(f"{k} is null" for k in keys)
+    held = (
+        f"left join (select distinct {cols}, true as held from ({parent})) p using ({cols})"
+        if parent
+        else "cross join (select cast(null as boolean) as held) p"
+    )
+    orphans = "count(case when not nul and held is null then 1 end)" if parent else "null"
+    return f"""select '{name}' as table_name, cast(coalesce(sum(n), 0) as bigint) as rows,
+  cast(coalesce(sum(case when nul then n end), 0) as bigint) as null_keys,
+  cast(count(case when not nul then 1 end) as bigint) as distinct_keys,
+  cast(count(case when not nul and n > 1 then 1 end) as bigint) as repeated_keys,
+  cast(coalesce(sum(case when not nul and n > 1 then n - 1 end), 0) as bigint) as extra_rows,
+  cast({orphans} as bigint) as orphan_keys
+from (select {cols}, ({unknown}) as nul, count(*) as n from ({rows}) group by all) g {held}"""
+
+
+def _values_sql(rows, names: list[str]) -> str:
+    listed = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    return f"select * from (values {listed}) t({', '.join(names)})"
+
+
+_CODE_MAP_SQL = """select ' a' || lpad(cast(p_size as varchar), 3, '0') || ' ' as code from (select distinct p_size from part where p_size <= 40)
+  union all select ' a020 ' from part where p_size = 20 group by p_size"""
+
+KEY_SQL = f"""{as_ctes("installbase")}
+{_key_report_sql("account_overrides", _values_sql(UTILIZATION.account_overrides, ["accountid", "name", "start"]), ["accountid", "name"],
+                 "select accountid, name from installbase")}
+union all
+{_key_report_sql("system_overrides", _values_sql(UTILIZATION.system_overrides, ["name", "start"]), ["name"], "select name from installbase")}
+union all
+{_key_report_sql("code_map", _CODE_MAP_SQL, ["code"])}"""
+
+
+@query("key_constraints", KEY_SQL)
+def q_key_constraints(spark, sf_dir):
+    """Key counters of the lookups the products join: the two override lists (against the installed base) and the code map."""
+    from workload.files import code_map
+
+    systems = SourceTables(spark, sf_dir)["installbase"]
+    account = spark.createDataFrame(list(UTILIZATION.account_overrides), "accountid string, name string, start string")
+    system = spark.createDataFrame(list(UTILIZATION.system_overrides), "name string, start string")
+    return (
+        key_report("account_overrides", account, ["accountid", "name"], systems, ["accountid", "name"])
+        .unionByName(key_report("system_overrides", system, ["name"], systems, ["name"]))
+        .unionByName(key_report("code_map", code_map(spark, sf_dir), ["code"]))
+    )
+
+
 @query(
     "lateral_alias",
     """select o_custkey, n, 'n=' || n as label, length('n=' || n)::int as label_length, n * 2 + 1 as twice
