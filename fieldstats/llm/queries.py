@@ -98,8 +98,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text)
     out = chat.formatted(conversation_messages(own.union(probe)))
     out = out.withColumn("turns", chat.turns_of(F.col("formatted")))
-    assistant = F.filter("turns", lambda t: t["role"] == "assistant")
-    under_mask = F.zip_with(assistant, F.col("mask"), lambda t, m: F.substring(t["body"], F.lit(1), (m["stop"] - m["start"]).cast("int")))
+    # the loss text is read from the formatted output at the mask's spans (start, stop: code points, stop exclusive)
+    under_mask = F.transform("mask", lambda m: F.substring(F.col("formatted"), (m["start"] + 1).cast("int"), (m["stop"] - m["start"]).cast("int")))
     loss = F.concat_ws("", F.transform(under_mask, chat.unescaped))
     whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), chat.unescaped(t["body"]), F.lit("\n"))))
     return out.select(

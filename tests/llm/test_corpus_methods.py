@@ -166,3 +166,37 @@ def test_pipeline_stages(spark, tmp_path):
     held = [d for d, t in before if any(i in t for i in items)]
     left = {d for d, _ in after}
     assert held and not left & set(held)
+
+
+def test_chat_formats_the_best_branches_with_their_masks(spark):
+    """A tree with two answers to one question, an orphan and a parent that is not earlier.
+
+    Branch sums: leaf 4 (1, 3, 4) has 5, leaf 2 has 1, the orphan 9 and the late-parent 5
+    are roots with 0 (equal sums: smaller leaf first). Marks in texts are escaped and read back.
+    """
+    from fieldstats.llm import chat
+
+    rows = [
+        ("t", 1, None, "user", "hi [x]", 0.0),
+        ("t", 2, 1, "assistant", "a <b>", 1.0),
+        ("t", 3, 1, "assistant", "c\\", 5.0),
+        ("t", 4, 3, "user", "more", None),
+        ("t", 9, 8, "user", "lost", 0.0),
+        ("t", 5, 7, "assistant", None, 0.0),
+    ]
+    msgs = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    out = {r["branch"]: r for r in chat.formatted(msgs, branches=4).collect()}
+    assert [out[b]["leaf"] for b in sorted(out)] == [4, 2, 5, 9]
+
+    def piece(role, text):
+        esc = text.replace("\\", "\\b").replace("<", "\\l").replace("[", "\\o").replace("]", "\\c")
+        return f"<s>[{role}]{esc}</s>"
+
+    assert out[1]["formatted"] == piece("user", "hi [x]") + piece("assistant", "c\\") + piece("user", "more")
+    assert out[2]["formatted"] == piece("user", "hi [x]") + piece("assistant", "a <b>")
+    assert out[3]["formatted"] == piece("assistant", "")
+    assert out[4]["formatted"] == piece("user", "lost")
+    assert [out[1]["formatted"][m["start"] : m["stop"]] for m in out[1]["mask"]] == ["c\\b"]
+    assert [out[2]["formatted"][m["start"] : m["stop"]] for m in out[2]["mask"]] == ["a \\lb>"]
+    assert [(m["start"], m["stop"]) for m in out[3]["mask"]] == [(len("<s>[assistant]"), len("<s>[assistant]"))]
+    assert out[4]["mask"] == []
