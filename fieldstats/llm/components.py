@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Remove the folders of stored frames that nothing will read again.
+
+    Only folders under the session's scratch folder are touched, and only where that
+    folder is mounted on the driver; elsewhere (an object store) they stay, to be
+    removed by the store's own rules. Call it once a later stored frame holds their rows.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        root = urlparse(scratch_path(spark, "x").rsplit("/", 1)[0]).path.rstrip("/") + "/"
+        for name in df.inputFiles():
+            where = urlparse(name)
+            if where.scheme not in ("", "file"):
+                continue
+            folder = os.path.dirname(where.path)
+            if folder.startswith(root) and os.path.isdir(folder):
+                shutil.rmtree(folder, ignore_errors=True)
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, component) for every node in links (a, b); component is the smallest node reachable.
 
@@ -40,6 +63,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             "a", F.least("l", "far").alias("l"), (F.least("l", "far") < F.col("old")).alias("moved")
         )
         new = stored(new, "labels")
+        released(labels)  # the round before is held in the new labels
         labels = new.select("a", "l")
         if new.where("moved").isEmpty():
+            released(edges)
             return labels.select(F.col("a").alias("node"), F.col("l").alias("component"))

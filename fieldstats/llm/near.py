@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstats.llm.components import components, stored
+from fieldstats.llm.components import components, released, stored
 from fieldstats.llm.words import Hasher, blocks, shingle_sets
 
 #: A shingle in so many documents is ordered last and handled by pivots.
@@ -247,12 +247,17 @@ def _may_match(n1: str, p1: str, n2: str, p2: str) -> Column:
     return F.expr(f"9 * least({n1} - {p1}, {n2} - {p2}) >= 4 * ({n1} + {n2}) and 5 * least({n1}, {n2}) >= 4 * greatest({n1}, {n2})")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Links (a, b) of representatives among class pairs (sa, a, sb, b), decided on the whole sets."""
+def _verified(docs: DataFrame, pairs: DataFrame, spent: list[DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) of representatives among class pairs (sa, a, sb, b), decided on the whole sets.
+
+    The stored frames it reads are added to ``spent``, to be released once the links are stored.
+    """
     ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     sets = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets, "sig binary, shingles array<long>")
     sets = stored(sets.groupBy("sig").agg(F.first("shingles").alias("shingles")), "sets")
+    if spent is not None:
+        spent += [ids, sets]
     left = sets.select(F.col("sig").alias("sa"), F.col("shingles").alias("xa"))
     right = sets.select(F.col("sig").alias("sb"), F.col("shingles").alias("xb"))
     both = pairs.join(left, "sa").join(right, "sb")
@@ -297,7 +302,8 @@ def jaccard_components(spark: SparkSession, documents: DataFrame) -> DataFrame:
     classes = known.groupBy("gkey", "sig", "n").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes, "classes")
     sizes = classes.groupBy("gkey").agg(F.count("*").alias("size"), F.min("sig").alias("least"))
-    classes = stored(classes.join(sizes, "gkey").select("gkey", "sig", "rep", "size", (F.col("sig") == F.col("least")).alias("lead")), "classes")
+    plain, classes = classes, stored(classes.join(sizes, "gkey").select("gkey", "sig", "rep", "size", (F.col("sig") == F.col("least")).alias("lead")), "classes")
+    released(plain)
 
     packed = texts.mapInArrow(_prefix_blocks(order), "part long, low binary, gkey binary, n binary, pos binary")
     rare = packed.repartition(parts, "part").mapInArrow(_rare_pairs, "ga long, gb long")
@@ -318,18 +324,21 @@ def jaccard_components(spark: SparkSession, documents: DataFrame) -> DataFrame:
     within = classes.where("size > 1 and lead").select(F.col("gkey").alias("ga"), F.col("gkey").alias("gb"))
     gpairs = stored(gpairs.union(within), "group-pairs")
 
-    links = _verified(docs, stored(_expanded(gpairs, classes, True), "class-pairs"))
+    spent: list[DataFrame] = [stored(_expanded(gpairs, classes, True), "class-pairs")]
+    links = _verified(docs, spent[0], spent)
     repeated = known.join(classes, ["gkey", "sig"]).groupBy("doc_id", "rep").agg(F.count("*").alias("k"))
     repeated = repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     twice = repeated.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("last")).where("b <> last").select("a", F.col("b").alias("first"))
     same = repeated.join(twice, "a").select(F.col("first").alias("a"), "b").where("a <> b")
     links = stored(links.union(same).distinct(), "links")
+    released(*spent)
     found = components(spark, links)
 
     labelled = classes.join(found, classes.rep == found.node, "left").select(classes["*"], F.coalesce("component", "rep").alias("c"))
     labelled = stored(labelled, "classes")
     group = labelled.groupBy("gkey").agg(F.min("c").alias("c1"), F.max("c").alias("c2"))
     placed = stored(lists.join(group, "gkey"), "lists")
+    released(lists)
     open_lists = placed.groupBy("slot").agg(F.min("c1").alias("m1"), F.max("c2").alias("m2"), F.min(F.struct((F.col("pos") / F.col("n")).alias("share"), "gkey", "c1")).alias("p"))
     open_lists = open_lists.where("m1 <> m2").select("slot", F.col("p.c1").alias("main"))
     rest = placed.join(open_lists, "slot")
@@ -343,9 +352,15 @@ def jaccard_components(spark: SparkSession, documents: DataFrame) -> DataFrame:
         .select("ga", "gb")
     )
     again = stored(_expanded(apart.select(*pair).union(large).distinct(), labelled, False), "class-pairs")
+    released(placed, gpairs, labelled)
     if not again.isEmpty():
-        more = stored(_verified(docs, again).union(links), "links")
+        spent = [again]
+        more = stored(_verified(docs, again, spent).union(links), "links")
+        released(links, found, *spent)
         found = components(spark, more)
+        released(more)
+    else:
+        released(again, links)
 
     member = known.select("doc_id", "sig", "gkey").distinct().join(classes, ["gkey", "sig"]).select("doc_id", "sig", "rep")
     member = member.join(found, member.rep == found.node, "left").select("doc_id", "sig", F.coalesce("component", "rep").alias("c"))

@@ -200,3 +200,20 @@ def test_chat_formats_the_best_branches_with_their_masks(spark):
     assert [out[2]["formatted"][m["start"] : m["stop"]] for m in out[2]["mask"]] == ["a \\lb>"]
     assert [(m["start"], m["stop"]) for m in out[3]["mask"]] == [(len("<s>[assistant]"), len("<s>[assistant]"))]
     assert out[4]["mask"] == []
+
+
+def test_released_removes_stored_scratch_folders_only(spark, tmp_path):
+    """A stored frame's folder goes; a folder outside the scratch folder (an input) stays."""
+    import os
+
+    from fieldstats.llm.components import released, stored
+
+    kept = str(tmp_path / "input")
+    spark.range(5).write.parquet(kept)
+    given = spark.read.parquet(kept)
+    copy = stored(given.selectExpr("id * 2 as id"), "copy")
+    folders = {os.path.dirname(f.replace("file:", "", 1)) for f in copy.inputFiles()}
+    assert sorted(r.id for r in copy.collect()) == [0, 2, 4, 6, 8]
+    released(copy, given)
+    assert not any(os.path.isdir(f) for f in folders)
+    assert os.path.isdir(kept) and given.count() == 5
