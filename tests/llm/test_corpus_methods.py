@@ -217,3 +217,17 @@ def test_released_removes_stored_scratch_folders_only(spark, tmp_path):
     released(copy, given)
     assert not any(os.path.isdir(f) for f in folders)
     assert os.path.isdir(kept) and given.count() == 5
+
+
+def test_decontamination_finds_the_tail_of_a_long_item(spark):
+    """The last passage of a long item reaches back to be whole: a document holding only an item's last 40 words is found."""
+    rng = random.Random(3)
+    vocab = [f"w{i}x" for i in range(3000)]
+    item = [rng.choice(vocab) for _ in range(150)]
+    docs = [(1, "lead in words here " + " ".join(item[-40:]) + " and more after")]
+    docs += [(10 + i, " ".join(rng.choice(vocab) for _ in range(120))) for i in range(30)]
+    bench = [(7, " ".join(item))] + [(8 + i, " ".join(rng.choice(vocab) for _ in range(60))) for i in range(5)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in decontam.contaminated(spark, d, b).collect())
+    assert found == [(1, 7)]
