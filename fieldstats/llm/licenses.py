@@ -41,8 +41,8 @@ TEMPLATES = (
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify and or distribute this software",)),
 )
 
-#: Licence words in more than this share of all documents are not looked up.
-COMMON = 0.5
+#: Words of each template that the index holds: its rarest in the corpus (fewest documents, then by word).
+RARE_PER_TEMPLATE = 8
 #: Rarest licence words of a file that are looked up.
 LOOKED_UP = 12
 #: Words that must stand in place (fewer, if a template has fewer that are rare).
@@ -80,12 +80,17 @@ def scanned(documents: DataFrame, frequencies: dict[str, int], total: int, templ
 
     n_base counts the places of base phrases, first_word and last_word are the
     smallest and largest number of a word where one starts (null without any).
-    labels has base labels and the templates'. score is the largest share of a
-    found template's rare words that stand in place; 0 without one. A null or
+    labels has base labels and the templates'. Each template is indexed by its
+    RARE_PER_TEMPLATE rarest words; a text looks up its LOOKED_UP rarest of them, the
+    postings are intersected by relative position, and the template's mandatory
+    phrases are verified last. score is the largest share of a found template's
+    indexed words that stand in place; 0 without one. A null or
     empty text has no words and no labels. Repeated rows are scanned each; all other
     columns are kept, those with the names of results give way to them.
     """
-    rare = sorted((w for w, n in frequencies.items() if n <= COMMON * total or n <= 20), key=lambda w: (frequencies[w], w))
+    # Each template is indexed by its RARE_PER_TEMPLATE rarest words in the corpus, whatever the corpus size.
+    rarity = {w: (frequencies.get(w, 0), w) for t in templates for w in t.text.split()}
+    rare = sorted({w for t in templates for w in sorted(set(t.text.split()), key=rarity.get)[:RARE_PER_TEMPLATE]}, key=rarity.get)
     postings: dict[str, list[tuple[int, int]]] = {}
     for t, template in enumerate(templates):
         for i, w in enumerate(template.text.split()):
@@ -105,8 +110,6 @@ def scanned(documents: DataFrame, frequencies: dict[str, int], total: int, templ
     label_of = F.create_map(*[F.lit(x) for pair in BASE.items() for x in pair])
     base_labels = F.array_sort(F.array_distinct(F.transform("base_hits", lambda h: F.get(F.array(F.element_at(label_of, h)), F.lit(0)))))
 
-    # Without a mandatory phrase nothing can be found, so such texts are not looked up.
-    possible = F.col("norm").rlike(_phrase(sorted({p for t in templates for p in t.mandatory})))
     words = F.slice(F.split("norm", " "), 2, F.greatest(_spaces(F.col("norm")).cast("int") - 1, F.lit(0)))
     none = F.lit([0] * len(templates))
     in_place = none
@@ -130,13 +133,14 @@ def scanned(documents: DataFrame, frequencies: dict[str, int], total: int, templ
             zero = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("o"), F.lit(0).alias("run"), none.alias("best"))
             return F.aggregate(F.array_sort(offsets), zero, run_of, lambda s: s["best"])
 
-        out = out.withColumn("top", F.when(possible, known).otherwise(F.expr("cast(array() as array<string>)")))
-        in_place = F.when(F.size("top") > 1, best_runs(F.col("top"))).otherwise(none)
+        # candidates come from the postings of every text; the mandatory phrases are verified last
+        out = out.withColumn("top", known)
+        in_place = F.when(F.size("top") > 0, best_runs(F.col("top"))).otherwise(none)
     out = out.withColumn("in_place", in_place)
 
     found, scores = [], []
     for k, template in enumerate(templates):
-        if count[k] < 2:
+        if not count[k]:
             continue
         good = F.get("in_place", F.lit(k)) >= min(IN_PLACE, count[k])
         for p in template.mandatory:

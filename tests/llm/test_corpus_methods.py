@@ -231,3 +231,15 @@ def test_decontamination_finds_the_tail_of_a_long_item(spark):
     b = spark.createDataFrame(bench, "item_id long, text string")
     found = sorted((r.doc_id, r.item_id) for r in decontam.contaminated(spark, d, b).collect())
     assert found == [(1, 7)]
+
+
+def test_licence_of_common_words_is_still_found(spark):
+    """Each template is indexed by its rarest words, so a notice that most documents carry is still labelled, at any corpus size."""
+    from fieldstats.llm import licenses
+
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
+    rows = [(i, f"file {i}. {notice} More text.") for i in range(30)] + [(100 + i, "plain words only here") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in licenses.scanned(docs, *licenses.document_frequencies(docs)).collect()}
+    assert all("mit" in out[i]["labels"].split(",") and out[i]["score"] > 0 for i in range(30))
+    assert all(out[100 + i]["labels"] == "" and out[100 + i]["score"] == 0 for i in range(5))
