@@ -6,9 +6,13 @@ weight w is released at slot floor(i / w) and due at ceil((i + 1) / w);
 among the released blocks the one due first is next. So at every slot each
 source is less than one block away from its share.
 
-Weights are rounded to whole quotas of a period, so the schedule repeats: it
-is worked out for one period (a table bounded by its length) and carried over
-to all blocks by arithmetic. The rows are numbered within small hash ranges,
+Weights written as decimals (or integers) are taken exactly: their integer
+ratios give each source its blocks per period and the period is their sum, up
+to MAX_PERIOD slots, so at every slot each source is less than one block from
+its true share. Other weights (the square roots of the default) are rounded to
+whole quotas of PERIOD slots. Either way the schedule repeats: it is worked out
+for one period (a table bounded by its length) and carried over to all blocks
+by arithmetic. The rows are numbered within small hash ranges,
 no source is ever sorted as a whole.
 """
 
@@ -16,16 +20,35 @@ from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Documents of a block, slots of a period, rows of a hash range.
 BLOCK_ROWS, PERIOD, RANGE_ROWS = 64, 1_000, 500
+#: Longest period of exact weights; weights whose exact ratios need more slots are rounded to quotas of PERIOD.
+MAX_PERIOD = 100_000
+
+
+def exact_quotas(weights: dict[str, float], longest: int = MAX_PERIOD) -> tuple[dict[str, int], int] | None:
+    """Blocks per period in the exact ratio of the weights as written (decimals), and the period; None if that needs over ``longest`` slots or a weight is not above 0."""
+    if not weights or any(not w > 0 or math.isinf(w) for w in weights.values()):
+        return None
+    shares = {s: Fraction(repr(float(w))) for s, w in weights.items()}
+    common = math.lcm(*[x.denominator for x in shares.values()])
+    whole = {s: int(x * common) for s, x in shares.items()}
+    g = math.gcd(*whole.values())
+    whole = {s: n // g for s, n in whole.items()}
+    return (whole, sum(whole.values())) if sum(whole.values()) <= longest else None
 
 
 def quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, int], int]:
-    """Blocks per period and source: at least one each, by largest remainders; and the period, longer if there are many sources."""
+    """Blocks per period and source, and the period: exact where the weights allow (``exact_quotas``), else
+    at least one each by largest remainders, the period longer if there are many sources."""
+    exact = exact_quotas(weights)
+    if exact is not None:
+        return exact
     names = sorted(weights)
     period = max(period, 4 * len(names))
     usable = {s: weights[s] if weights[s] > 0 else 0.0 for s in names}

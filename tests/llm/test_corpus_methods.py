@@ -243,3 +243,28 @@ def test_licence_of_common_words_is_still_found(spark):
     out = {r.doc_id: r for r in licenses.scanned(docs, *licenses.document_frequencies(docs)).collect()}
     assert all("mit" in out[i]["labels"].split(",") and out[i]["score"] > 0 for i in range(30))
     assert all(out[100 + i]["labels"] == "" and out[100 + i]["score"] == 0 for i in range(5))
+
+
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 1, "c": 1}, {"x": 0.0001, "y": 0.9999}, {"p": 0.5, "q": 0.3, "r": 0.2}])
+def test_mixing_holds_true_weights_within_a_block(weights):
+    """Over ten periods every source stays less than one block from its true share at every slot."""
+    quota, period = mixing.quotas(weights)
+    table = mixing.period_slots(quota, period)
+    total = sum(weights.values())
+    done = Counter()
+    for slot in range(10 * period):
+        s, _, _ = table[slot % period]
+        done[s] += 1
+        for name, w in weights.items():
+            assert abs(done[name] - (slot + 1) * w / total) < 1
+
+
+def test_mixture_of_equal_sources_alternates(spark):
+    """Three sources of equal weight and equal size: after every three slots each has placed as many blocks."""
+    rows = [(i, s) for s in ("a", "b", "c") for i in range(s == "a" and 0 or 1000 * ord(s), (s == "a" and 0 or 1000 * ord(s)) + 640)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    out = mixing.mixed(spark, docs, {"a": 1, "b": 1, "c": 1}, block_rows=64)
+    slots = {(r.source, r.block): r.slot for r in out.select("source", "block", "slot").distinct().collect()}
+    assert out.count() == len(rows)
+    for k in range(10):
+        assert sorted(slots[(s, k)] for s in "abc") == [3 * k, 3 * k + 1, 3 * k + 2]
