@@ -151,4 +151,22 @@ QUERIES = {
         op13_lm_scores,
     )
 }
-CHECKS: dict[str, str] = {}
+#: DuckDB statements of whole results, where SQL can state them.
+CHECKS: dict[str, str] = {
+    # exact top 10 by integer inner product of floor(1024 x) components; ties to the smaller vec_id
+    "op9_topk": """with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)
+),
+q as (select distinct vec_id, v from v where vec_id % 100 = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v)
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+) where rank <= 10""",
+}

@@ -171,3 +171,17 @@ def test_decontamination_runs(spark, folder):
 def test_decontamination_finds_the_item(spark, hard):
     got = result(spark, "op3_decontamination", hard, "doc_id", "item_id", "cover")
     assert sum(item == 1 for _, item, _ in got) >= 38 and {i for _, i, _ in got} == {1}
+
+
+def test_op9_matches_its_sql_check(spark):
+    """The registered DuckDB statement of op9_topk gives the same rows as the query."""
+    import duckdb
+
+    from fieldstats.llm.queries import CHECKS, QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from '{folder}/embeddings.parquet'")
+    want = sorted(con.sql(CHECKS["op9_topk"]).fetchall())
+    got = sorted(tuple(r) for r in QUERIES["op9_topk"](spark, folder).select("query_id", "rank", "vec_id", "score").collect())
+    assert want and got == want
