@@ -154,6 +154,16 @@ QUERIES = {
 #: DuckDB statements of whole results, where SQL can state them.
 CHECKS: dict[str, str] = {
     # exact top 10 by integer inner product of floor(1024 x) components; ties to the smaller vec_id
+    # payload size and digest of the UTF-8 html; of equal payloads of 100 bytes or more the smallest page_id is the response
+    "op5_warc": """with d as (
+  select page_id, cast(octet_length(encode(coalesce(html, ''))) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages
+),
+f as (select *, min(page_id) over (partition by payload_digest) as first_id from d)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id > first_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id > first_id then first_id end as refers_to
+from f""",
     "op9_topk": """with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
   from embeddings

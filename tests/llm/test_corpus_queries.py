@@ -185,3 +185,22 @@ def test_op9_matches_its_sql_check(spark):
     want = sorted(con.sql(CHECKS["op9_topk"]).fetchall())
     got = sorted(tuple(r) for r in QUERIES["op9_topk"](spark, folder).select("query_id", "rank", "vec_id", "score").collect())
     assert want and got == want
+
+
+def test_op5_matches_its_sql_check_with_repeated_payloads(spark, tmp_path):
+    """Repeated long and short payloads, a null html and non-ASCII text: the query equals its DuckDB statement."""
+    import duckdb
+
+    from fieldstats.llm.queries import CHECKS, QUERIES
+
+    long = "<html>" + "é" * 120 + "</html>"
+    rows = [(5, "http://a/1", long), (2, "http://a/2", long), (9, "http://a/3", long), (3, "http://a/4", "short"),
+            (4, "http://a/5", "short"), (6, "http://a/6", None), (7, "http://a/7", ""), (8, "http://a/8", "x" * 99)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.sql(CHECKS["op5_warc"]).fetchall(), key=str)
+    got = sorted((tuple(r) for r in QUERIES["op5_warc"](spark, str(tmp_path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+    assert got == want
+    assert sorted((r[0], r[3], r[4]) for r in got if r[3] == "revisit") == [(5, "revisit", 2), (9, "revisit", 2)]
