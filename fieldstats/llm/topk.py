@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,11 @@ def whole(vectors: DataFrame) -> DataFrame:
 
 
 def _packed(rows: int, shares: int):
+    """Blocks of up to ``rows`` vectors of one length; a task deals its blocks to the shares in turn, from its partition number."""
+
     def run(batches):
-        number = 0
+        context = TaskContext.get()
+        number = context.partitionId() if context is not None else 0
         for batch in batches:
             ids, lists = batch.column("vec_id").to_numpy(zero_copy_only=False), batch.column("v")
             sizes = np.array([len(x) for x in lists], dtype=np.int64)
@@ -51,7 +55,7 @@ def _packed(rows: int, shares: int):
                     part = own[at : at + rows]
                     v = flat[starts[part][:, None] + np.arange(dim)].astype(np.int64)
                     number += 1
-                    share = [int(ids[part[0]]) % shares]
+                    share = [number % shares]
                     yield pa.RecordBatch.from_pydict({"dim": [dim], "share": share, "ids": [ids[part].astype(np.int64).tobytes()], "vectors": [v.tobytes()]}, schema=_INDEX)
 
     return run
