@@ -258,3 +258,20 @@ def test_key_report_on_an_empty_table_is_zeros(spark):
     assert [x.asDict() for x in r] == [
         {"table_name": "e", "rows": 0, "null_keys": 0, "distinct_keys": 0, "repeated_keys": 0, "extra_rows": 0, "orphan_keys": 0}
     ]
+
+
+def test_paged_lists_number_a_hot_key_across_partitions(spark):
+    from fieldstats.operators.lists import paged_lists
+
+    rows = [("hot", f"m{i:04d}", i) for i in range(1000)] + [("hot", "m0005", 0)]
+    rows += [(None, "z", 1), (None, "a", 2), ("b", None, 3), ("b", "x", 4), ("b", "x", 5)]
+    df = spark.createDataFrame(rows, "k string, m string, __m long").repartition(8)
+    got = {(r.k, r.page): (r.members, r.text) for r in paged_lists(df, ["k"], "m", page_size=7).collect()}
+    members = {"hot": [f"m{i:04d}" for i in range(1000)], None: ["a", "z"], "b": ["x"]}
+    want = {}
+    for k, ms in members.items():
+        for p in range(0, len(ms), 7):
+            want[(k, p // 7)] = (len(ms[p : p + 7]), ", ".join(ms[p : p + 7]))
+    assert got == want
+    empty = spark.createDataFrame([], "k string, m string")
+    assert paged_lists(empty, ["k"], "m").collect() == []
