@@ -11,6 +11,8 @@ document is scored on its whole text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,8 @@ FIT_ROWS = 4_000
 HASHED, KEPT = 1 << 20, 4_096
 #: Least z value of the difference in frequency of a kept feature, and least rows that have it.
 LEAST_Z, LEAST_ROWS = 4.5, 4
+#: Features that a fit spreads out at once; the runs' sums are the same for any number.
+PART = 1 << 18
 FOLDS = 5
 THRESHOLD = 0.5
 _PREFIXES = (4, 5)
@@ -47,6 +51,18 @@ def _sample_features(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": ids[first : first + len(block)], "features": found}, schema=schema)
 
 
+def _parts(rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and the row of each, in runs of whole rows of about PART features, so that a fit holds one run at a time."""
+    ends = np.cumsum([len(r) for r in rows])
+    first = 0
+    while first < len(rows):
+        before = int(ends[first]) - len(rows[first])
+        stop = max(first + 1, int(np.searchsorted(ends, before + PART, side="right")))
+        run = rows[first:stop]
+        yield np.concatenate(run), np.repeat(np.arange(first, stop), [len(r) for r in run])
+        first = stop
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -61,19 +77,20 @@ class Linear:
         self.weight, self.chain = np.zeros(0), np.zeros(before.shape[1])
         if not n or positive in (0, n):
             return
-        flat = np.concatenate(rows)
-        owner = np.repeat(np.arange(n), [len(r) for r in rows])
-        with_it = np.bincount(flat, minlength=HASHED)
-        positive_with = np.bincount(flat[y[owner] == 1], minlength=HASHED)
+        with_it, positive_with = np.zeros(HASHED, dtype=np.int64), np.zeros(HASHED, dtype=np.int64)
+        for flat, owner in _parts(rows):
+            with_it += np.bincount(flat, minlength=HASHED)
+            positive_with += np.bincount(flat[y[owner] == 1], minlength=HASHED)
+        seen = np.flatnonzero(with_it >= LEAST_ROWS)
+        with_it, positive_with = with_it[seen], positive_with[seen]
         share = with_it / n
         spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / positive + 1 / (n - positive)))
         z = np.abs(positive_with / positive - (with_it - positive_with) / (n - positive)) / spread
-        z[with_it < LEAST_ROWS] = 0
         chosen = np.argsort(-z, kind="stable")[:KEPT]
-        self.keep = np.sort(chosen[z[chosen] >= LEAST_Z]).astype(np.int32)
+        self.keep = np.sort(seen[chosen[z[chosen] >= LEAST_Z]]).astype(np.int32)
         self.weight = np.zeros(len(self.keep))
-        column, has = self._columns(flat)
-        column, owner = column[has], owner[has]
+        held = [(at[has], owner[has]) for flat, owner in _parts(rows) for at, has in [self._columns(flat)]]
+        column, owner = (np.concatenate([h[k] for h in held]) for k in (0, 1))
         step_w, step_c, step_b = np.zeros_like(self.weight), np.zeros_like(self.chain), 0.0
         # Both classes weigh alike, so that a rare category is not held below the threshold.
         each = np.where(y == 1, 0.5 / positive, 0.5 / (n - positive))
@@ -96,10 +113,11 @@ class Linear:
     def probability(self, rows: list[np.ndarray], before: np.ndarray) -> np.ndarray:
         if not rows:
             return np.zeros(0)
-        owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        column, has = self._columns(np.concatenate(rows))
-        inside = self.weight[column[has]] if len(self.weight) else np.zeros(0)
-        return _sigmoid(self.bias + before @ self.chain + np.bincount(owner[has], inside, minlength=len(rows)))
+        inside = np.zeros(len(rows))
+        for flat, owner in _parts(rows) if len(self.weight) else ():
+            column, has = self._columns(flat)
+            inside += np.bincount(owner[has], self.weight[column[has]], minlength=len(rows))
+        return _sigmoid(self.bias + before @ self.chain + inside)
 
 
 def chain_of(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> list[Linear]:
