@@ -225,6 +225,9 @@ def duration_population(
 
     ``tier_calendar`` is the working-day row used for the tiers, where it differs
     from the one used for the rows.
+
+    The lookups are joined to the procedures from the narrowest to the widest, the
+    account with its team last, so that no later join shuffles the account's columns.
     """
     calendar = run_rate_calendar(spark, params) if calendar is None else calendar
     hospitals = tables["account"].where(F.col("recordtype") == params.record_type)
@@ -257,10 +260,12 @@ def duration_population(
     system = tables["installbase"].select(
         "installbaseguid", "name", "model", "financeinstalleddate"
     )
-    rows = recent.withColumn("quarter_index", quarter_index(F.col("proceduredatelocal"))).join(account, "accountguid")
-    rows = rows.join(tiers, ["surgeonguid", "quarter_index"], "left")
-    rows = rows.join(contact, F.col("surgeonguid") == F.col("contactguid"), "left")
+    # Every row of a hospital has its surgeon and quarter among the tiers, so the names are joined to those.
+    surgeon = tiers.join(contact, F.col("surgeonguid") == F.col("contactguid"), "left").drop("contactguid")
+    rows = recent.withColumn("quarter_index", quarter_index(F.col("proceduredatelocal")))
     rows = rows.join(system, F.col("installedbaseguid") == F.col("installbaseguid"), "left")
+    rows = rows.join(surgeon, ["surgeonguid", "quarter_index"], "left")
+    rows = rows.join(account, "accountguid")
     rows = cross_one_row(rows, calendar)
     minutes = F.col("proceduredurationinseconds") / 60
     return rows.select(
