@@ -291,7 +291,9 @@ def jaccard_components(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
     counted = texts.mapInArrow(_count_blocks(parts), "part long, one binary, more binary, times binary")
     often = counted.repartition(parts, "part").mapInArrow(_frequent_of(FREQUENT), "slot long, df long")
-    kept = often.orderBy(F.desc("df"), "slot").limit(FREQUENT_KEPT).toPandas()
+    frequent = stored(often.orderBy(F.desc("df"), "slot").limit(FREQUENT_KEPT), "frequent")
+    kept = frequent.toPandas()
+    released(frequent)
     slots = kept["slot"].to_numpy(dtype=np.uint64)
     ranks = np.lexsort((slots, kept["df"].to_numpy(dtype=np.int64))).argsort()
     by = np.argsort(slots)

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from fieldstats.llm import archives, decontam, mixing, secrets, topk, toxicity, urls, words
+from fieldstats.llm import archives, decontam, mixing, near, secrets, topk, toxicity, urls, words
 
 GIVEN = "/root/testdata/sf0.01"
 
@@ -219,6 +219,29 @@ def test_released_removes_stored_scratch_folders_only(spark, tmp_path):
     assert os.path.isdir(kept) and given.count() == 5
 
 
+def _shuffle_files(spark):
+    """Shuffle files on disk of this session (its executor writes into the driver's process)."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in manager.getAllFiles().mkString("\n").split("\n") if name.endswith(".data") and "shuffle_" in name}
+
+
+def test_near_duplicates_leave_no_shuffle_files(spark):
+    """Every step of the search is stored; its shuffles go with it (only the returned frame's own are still to be written)."""
+    import time
+
+    rnd = random.Random(3)
+    words_ = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rnd.choices(words_, k=40)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, texts[i % 40] + (" more" if i % 3 else "")) for i in range(60)], "doc_id long, text string")
+    before = _shuffle_files(spark)
+    near.jaccard_components(spark, docs)
+    for _ in range(50):  # files are removed in the background
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+
+
 def test_decontamination_finds_the_tail_of_a_long_item(spark):
     """The last passage of a long item reaches back to be whole: a document holding only an item's last 40 words is found."""
     rng = random.Random(3)
