@@ -1,12 +1,21 @@
 """Language-model scoring: interpolated modified Kneser-Ney trigrams, counted in Spark.
 
-Counting is Spark's: every token of a training text becomes one trigram row (two start marks
-before the text, one end token after it), and grouping by hashes of the trigram, its context and
-its last two tokens gives raw counts, continuation counts, counts of counts and the discounts of
-each order (Chen and Goodman's modified Kneser-Ney). The three tables are range-partitioned and
-sorted by 64-bit hash and written as numpy arrays to the shared folder; Python workers map them
-into memory and look up the n-grams of each token by binary search, in Arrow batches of
-token rows. Sums per text are taken by Spark again.
+Every token of a text has a trigram (two start marks before the text, one end token after it).
+Tasks hash their texts' n-grams in blocks, combine equal ones and send each hash once to the part
+of the hash range it belongs to; a part adds up its n-grams, sorts them and writes numpy arrays to
+the shared folder. Workers map the arrays of one pass into memory for the next one:
+
+1. trigrams with their counts;
+2. bigrams: a position of the text tells the counts of the trigram that ends there and of the one
+   that goes on from there. A trigram counted c times is met at c positions, so each adds 1 / c
+   of a type; the sums over a bigram's positions are its continuation count and the N's;
+3. words, from the bigrams in the same way (a plain aggregation of one row per word and task);
+4. scores: the n-grams of each text are looked up and summed within its task.
+
+An n-gram met once in training is stored only if a text outside the training rows holds it too:
+a training text that holds an n-gram which is not stored is itself the one place where it occurs.
+Shuffled hashes are sorted and kept as differences, bytes of equal weight together, which
+compresses well; a stored table keeps each distinct row of values once, and a short code per key.
 
 Model, per token w after context (u, v); c: counts, cc: continuation counts, T: sums over a
 context, N1/N2/N3: its types seen once, twice, three times or more:
@@ -30,67 +39,281 @@ counted as often as they appear; a table without training rows gives every token
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldstats.llm.components import stored
+from fieldstats.llm.components import released, stored
+from fieldstats.llm.words import Hasher, blocks, mix
 from fieldstats.session import scratch_path
 
-START, END = "\t", "\n"
 MIN_DISCOUNT = 0.1
+#: Tokens whose n-grams a task holds before it combines and passes them on (8 to 24 bytes each).
+AT_ONCE = 1 << 21
+#: Parts of the hash range for each partition that the texts are read in.
+PARTS_PER_SPLIT = 4
 #: Rows of one sorted array file; a table of R rows is written as about R / FILE_ROWS files.
-FILE_ROWS = 4_000_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+FILE_ROWS = 1_000_000
 UNI = ["c", "cc", "t", "n1", "n2", "n3"]
-BI = ["cc", "t", "n1", "n2", "n3"]
+BI = ["c", "cc", "t", "n1", "n2", "n3"]
 TRI = ["c"]
+_START, _END = mix(np.arange(1, 3, dtype=np.uint64))
+_PLACE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
+_TOP = np.uint64(1 << 63)
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased (A-Z) words of the whole text, then the end token."""
-    words = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[\x20\x09-\x0D]+")
-    return F.concat(F.filter(words, lambda w: w != ""), F.array(F.lit(END)))
+@dataclass
+class Grams:
+    """The tokens of some texts in order: text, hashes of the token itself, the last two and the last three."""
+
+    owner: np.ndarray
+    w: np.ndarray
+    vw: np.ndarray
+    uvw: np.ndarray
+    first: np.ndarray  # whether the token begins its text
+    last: np.ndarray
+
+
+#: The two start marks, the context of every first token.
+_STARTS = mix(np.array([_START], dtype=np.uint64) * _PLACE[0] + np.array([_START], dtype=np.uint64) * _PLACE[1] + np.uint64(2))
+
+
+def grams(hasher: Hasher, texts: list[bytes]) -> Grams:
+    """Lower-cased (A-Z) words of the whole texts, each with the end token, and their n-grams."""
+    owner, word = hasher.words(texts)
+    sizes = np.bincount(owner, minlength=len(texts)) + 1
+    ends = np.cumsum(sizes + 2)
+    begins = np.r_[0, ends[:-1]]
+    tokens = np.empty(ends[-1], dtype=np.uint64)
+    tokens[begins] = tokens[begins + 1] = _START
+    tokens[ends - 1] = _END
+    tokens[np.arange(len(word)) + 3 * owner + 2] = word
+    real = np.ones(len(tokens), dtype=bool)
+    real[begins] = real[begins + 1] = False
+    at = np.flatnonzero(real)
+    u, v, w = tokens[at - 2], tokens[at - 1], tokens[at]
+    first, last = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    stop = np.cumsum(sizes)
+    first[stop - sizes] = last[stop - 1] = True
+    return Grams(
+        owner=np.repeat(np.arange(len(texts)), sizes),
+        w=w,
+        vw=mix(v * _PLACE[0] + w * _PLACE[1] + np.uint64(2)),
+        uvw=mix(u * _PLACE[0] + v * _PLACE[1] + w * _PLACE[2] + np.uint64(3)),
+        first=first,
+        last=last,
+    )
 
 
-def grams(toks: Column) -> Column:
-    """One struct of hashes per token of ``toks``: trigram, its context, last two tokens, previous and own token.
+def _texts(batches) -> Iterator[tuple[Grams, np.ndarray]]:
+    """N-grams of blocks of texts (text, train), and whether each token is for training."""
+    hasher = Hasher()
+    for batch in batches:
+        train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        for first, texts in blocks(batch.column(0)):
+            found = grams(hasher, texts)
+            yield found, train[first : first + len(texts)][found.owner]
 
-    The two tokens before each one come from shifted copies of the array, zipped with it, so
-    every token is looked at a fixed number of times however long the text.
-    """
-    n = F.size(toks)
-    padded = F.concat(F.array(F.lit(START), F.lit(START)), toks)
-    zipped = F.arrays_zip(F.slice(padded, 1, n).alias("u"), F.slice(padded, 2, n).alias("v"), toks.alias("w"))
 
-    def gram(z: Column) -> Column:
-        u, v, w = z["u"], z["v"], z["w"]
-        return F.struct(
-            F.xxhash64(F.lit(3), u, v, w).alias("h3"),
-            F.xxhash64(F.lit(2), u, v).alias("hc"),
-            F.xxhash64(F.lit(2), v, w).alias("hb"),
-            F.xxhash64(F.lit(1), v).alias("hv"),
-            F.xxhash64(F.lit(1), w).alias("hu"),
-        )
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers, their lowest bytes first, then the next ones, and so on."""
+    return np.ascontiguousarray(values, dtype=np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    return F.transform(zipped, gram)
 
+def _unplaned(blobs: list[bytes]) -> np.ndarray:
+    parts = [np.frombuffer(b, dtype=np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel() for b in blobs if b]
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
 
-def _kinds(count: Column) -> list[Column]:
-    return [
-        F.sum(count).alias("t"),
-        F.count(F.when(count == 1, 1)).alias("n1"),
-        F.count(F.when(count == 2, 1)).alias("n2"),
-        F.count(F.when(count >= 3, 1)).alias("n3"),
-    ]
 
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
-def _counts_of_counts(df: DataFrame, count: str) -> list[int]:
-    row = df.agg(*[F.count(F.when(F.col(count) == k, 1)).alias(f"n{k}") for k in range(1, 5)]).first()
-    return [int(row[f"n{k}"]) for k in range(1, 5)]
+
+def _unstepped(blobs: list[bytes]) -> np.ndarray:
+    parts = [np.cumsum(_unplaned([b]), dtype=np.uint64) for b in blobs if b]
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
+
+
+def _cells(columns: dict[str, tuple[np.ndarray, np.ndarray | None]], parts: int) -> pa.RecordBatch:
+    """One row per part of the hash range: of each column (sorted keys, values or None for the keys) what lies in it."""
+    bounds = np.array([-(-(p << 64) // parts) for p in range(1, parts)], dtype=np.uint64)
+    rows = {"part": np.arange(parts)}
+    for name, (keys, values) in columns.items():
+        cut = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+        rows[name] = [_steps(keys[a:b]) if values is None else _planes(values[a:b]) for a, b in zip(cut, cut[1:])]
+    return pa.RecordBatch.from_pydict(rows, schema=pa.schema([("part", pa.int64())] + [(c, pa.binary()) for c in columns]))
+
+
+def _gathered(batches, columns: list[str]) -> Iterator[tuple[int, dict[str, list[bytes]]]]:
+    """The blobs of each part."""
+    held: dict[int, dict[str, list[bytes]]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            own = held.setdefault(row["part"], {c: [] for c in columns})
+            for c in columns:
+                own[c].append(row[c])
+    while held:
+        yield held.popitem()
+
+
+def _schema(columns: list[str]) -> str:
+    return "part long, " + ", ".join(f"{c} binary" for c in columns)
+
+
+def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(sorted_columns[0]), dtype=bool)
+    new[:1] = True
+    for column in sorted_columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+_TRI_CELLS = ["one", "more", "times", "held"]
+
+
+def _trigram_blocks(parts: int):
+    def packed(ours: list[np.ndarray], held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(ours))
+        first = _runs(keys)
+        times = np.diff(first, append=len(keys)).astype(np.uint64)
+        keys = keys[first]
+        one = times == 1
+        more = keys[~one]
+        return _cells({"one": (keys[one], None), "more": (more, None), "times": (more, times[~one]), "held": (np.unique(np.concatenate(held)), None)}, parts)
+
+    def run(batches):
+        ours, held, n = [], [], 0
+        for found, train in _texts(batches):
+            ours.append(found.uvw[train])
+            held.append(found.uvw[~train])
+            n += len(train)
+            if n >= AT_ONCE:
+                yield packed(ours, held)
+                ours, held, n = [], [], 0
+        if n:
+            yield packed(ours, held)
+
+    return run
+
+
+def _trigram_tables(folder: str):
+    def run(batches):
+        for p, own in _gathered(batches, _TRI_CELLS):
+            one = _unstepped(own["one"])
+            keys = np.r_[one, _unstepped(own["more"])]
+            times = np.r_[np.ones(len(one), dtype=np.int64), _unplaned(own["times"]).astype(np.int64)]
+            order = np.argsort(keys)
+            keys, times = keys[order], times[order]
+            first = _runs(keys)
+            keys, times = keys[first], np.add.reduceat(times, first) if len(first) else times
+            keep = (times > 1) | np.isin(keys, np.unique(_unstepped(own["held"])), assume_unique=True)
+            yield _file(folder, p, keys[keep], times[keep, None], times)
+
+    return run
+
+
+_BI_CELLS = ["once", "key", "ends", "goes", "times", "held"]
+
+
+def _bigram_blocks(trigrams, parts: int):
+    """Per bigram: positions by the counts of the trigram that ends there and of the one that goes on (0: none)."""
+
+    def packed(ours: list, held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, ends, goes = (np.concatenate(x) for x in zip(*ours, strict=True))
+        order = np.argsort(keys)
+        keys, ends, goes = keys[order], ends[order], goes[order]
+        first = _runs(keys)
+        once = np.zeros(len(keys), dtype=bool)
+        once[first] = np.diff(first, append=len(keys)) == 1
+        once &= (ends == 1) & (goes == 1)
+        plain = keys[once]
+        keys, ends, goes = keys[~once], ends[~once], goes[~once]
+        order = np.lexsort((goes, ends, keys))
+        keys, ends, goes = keys[order], ends[order], goes[order]
+        first = _runs(keys, ends, goes)
+        times = np.diff(first, append=len(keys))
+        keys = keys[first]
+        cells = {"once": (plain, None), "key": (keys, None), "ends": (keys, ends[first]), "goes": (keys, goes[first]), "times": (keys, times)}
+        return _cells(cells | {"held": (np.unique(np.concatenate(held)), None)}, parts)
+
+    def run(batches):
+        ours, held, n = [], [], 0
+        for found, train in _texts(batches):
+            count = np.maximum(lookup(trigrams.value, len(TRI), found.uvw)[:, 0], 1)
+            goes = np.where(found.last, 0, np.r_[count[1:], 0])
+            starts = found.first & train
+            begin = np.full(int(starts.sum()), _STARTS[0])
+            ours.append((np.r_[found.vw[train], begin], np.r_[count[train], np.zeros(len(begin), dtype=np.int64)], np.r_[goes[train], count[starts]]))
+            held.append(np.r_[found.vw[~train], _STARTS])
+            n += len(train)
+            if n >= AT_ONCE:
+                yield packed(ours, held)
+                ours, held, n = [], [], 0
+        if n:
+            yield packed(ours, held)
+
+    return run
+
+
+def _types(count: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """``weight`` where the count is 1, 2, 3 or more."""
+    return [np.where(count == 1, weight, 0.0), np.where(count == 2, weight, 0.0), np.where(count >= 3, weight, 0.0)]
+
+
+def _bigram_tables(folder: str):
+    def run(batches):
+        for p, own in _gathered(batches, _BI_CELLS):
+            plain = _unstepped(own["once"])
+            ones = np.ones(len(plain), dtype=np.int64)
+            keys = np.r_[plain, _unstepped(own["key"])]
+            order = np.argsort(keys)
+            ends, goes, times = (np.r_[ones, _unplaned(own[c]).astype(np.int64)][order] for c in ("ends", "goes", "times"))
+            keys = keys[order]
+            first = _runs(keys)
+            keys = keys[first]
+            share = times / np.maximum(goes, 1)
+            parts = [np.where(ends > 0, times, 0), np.where(ends > 0, times / np.maximum(ends, 1), 0.0), np.where(goes > 0, times, 0), *_types(goes, share)]
+            # whole numbers, but for rounding of the 1 / c
+            values = np.stack([np.rint(np.add.reduceat(x, first)).astype(np.int64) for x in parts], axis=1) if len(first) else np.empty((0, len(BI)), dtype=np.int64)
+            keep = (values[:, 0] != 1) | np.isin(keys, np.unique(_unstepped(own["held"])), assume_unique=True)
+            yield _file(folder, p, keys[keep], values[keep], values[:, 1])
+
+    return run
+
+
+def _words(bigrams):
+    """Rows (h, UNI) per word of some texts: occurrences, and shares of the types of bigrams that end and begin with it."""
+
+    def summed(found: list) -> pa.RecordBatch:
+        w, first, cc, share = (np.concatenate(x) for x in zip(*found, strict=True))
+        keys, at_w = np.unique(w, return_inverse=True)
+        keys = np.r_[keys, _START]
+        at_v = np.r_[0, at_w[:-1]]
+        at_v[first] = len(keys) - 1
+        sums = [np.bincount(at_w, minlength=len(keys)), np.bincount(at_w, share, len(keys)), np.bincount(at_v, cc * share, len(keys))]
+        sums += [np.bincount(at_v, x, len(keys)) for x in _types(cc, share)]
+        return pa.RecordBatch.from_pydict({"h": (keys ^ _TOP).view(np.int64)} | {c: x.astype(float) for c, x in zip(UNI, sums, strict=True)})
+
+    def run(batches):
+        held, n = [], 0
+        for found, train in _texts(batches):
+            pair = np.maximum(lookup(bigrams.value, len(BI), found.vw[train])[:, :2], 1)
+            held.append((found.w[train], found.first[train], pair[:, 1], 1.0 / pair[:, 0]))
+            n += len(pair)
+            if n >= AT_ONCE:
+                yield summed(held)
+                held, n = [], 0
+        if n:
+            yield summed(held)
+
+    return run
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -117,64 +340,87 @@ class Model:
     g1: float
 
 
-def _write_sorted(df: DataFrame, key: str, columns: list[str], folder: str) -> list[tuple[int, str]]:
-    """Range-partition by key, sort, write each part as ``.keys.npy`` and ``.vals.npy``; returns (first key, stem)."""
-    rows = df.count()
-    parts = max(1, -(-rows // FILE_ROWS))
+def _local(folder: str) -> str:
     local = folder[len("file:") :] if folder.startswith("file:") else folder
     if "://" in local:
         raise ValueError("the arrays are memory-mapped: spark.checkpoint.dir must be a mounted shared folder")
+    return local
+
+
+def _save(local: str, keys: np.ndarray, values: np.ndarray) -> str:
+    """Sorted keys, the distinct rows of values, and which of them belongs to each key."""
+    table = pd.DataFrame(values)
+    codes = table.groupby(list(table.columns), sort=False).ngroup().to_numpy()
+    rows = table.drop_duplicates().to_numpy(np.int64)
+    stem = f"{local}/{int(keys[0]):020d}"
+    os.makedirs(local, exist_ok=True)
+    for suffix, array in ((".keys.npy", keys), (".rows.npy", rows), (".codes.npy", codes.astype(np.min_scalar_type(len(rows))))):
+        tmp = f"{stem}.{os.getpid()}.tmp.npy"
+        np.save(tmp, np.ascontiguousarray(array))
+        os.replace(tmp, stem + suffix)
+    return stem
+
+
+_FILE = "first decimal(20,0), stem string, n1 long, n2 long, n3 long, n4 long"
+
+
+def _file(folder: str, part: int, keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Writes a part; its row has the first key, the file's name and how many n-grams are counted 1 to 4 times."""
+    stem = _save(_local(folder), keys, values) if len(keys) else None
+    row = {"first": pa.array([int(keys[0]) if stem else None], pa.decimal128(20, 0)), "stem": pa.array([stem], pa.string())}
+    return pa.RecordBatch.from_pydict(row | {f"n{k}": [int((counts == k).sum())] for k in range(1, 5)})
+
+
+def _write_sorted(df: DataFrame, key: str, columns: list[str], folder: str, rows: int) -> list[tuple[int, str]]:
+    """Range-partition by key, sort and write each part; returns (first key, stem)."""
+    parts = max(1, -(-rows // FILE_ROWS))
+    local = _local(folder)
 
     def write(batches):
         chunks = list(batches)
         if not chunks or not sum(len(c) for c in chunks):
             return
         data = pd.concat(chunks, ignore_index=True)
-        keys = data[key].to_numpy(np.int64)
-        stem = f"{local}/{int(keys[0]):+021d}"
-        os.makedirs(local, exist_ok=True)
-        for suffix, array in ((".keys.npy", keys), (".vals.npy", data[columns].to_numpy(np.int64))):
-            tmp = f"{stem}.{os.getpid()}.tmp.npy"
-            np.save(tmp, np.ascontiguousarray(array))
-            os.replace(tmp, stem + suffix)
-        yield pd.DataFrame({"first": [int(keys[0])], "stem": [stem]})
+        keys = data[key].to_numpy(np.int64).view(np.uint64) ^ _TOP
+        yield pd.DataFrame({"first": [str(keys[0])], "stem": [_save(local, keys, data[columns].to_numpy(np.int64))]})
 
-    ordered = df.select(key, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in columns])
-    ordered = ordered.repartitionByRange(parts, key).sortWithinPartitions(key)
-    written = ordered.mapInPandas(write, "first long, stem string").collect()  # one row per file
-    return sorted((r["first"], r["stem"]) for r in written)
+    ordered = df.select(key, *columns).repartitionByRange(parts, key).sortWithinPartitions(key)
+    written = ordered.mapInPandas(write, "first string, stem string").collect()  # one row per file
+    return sorted((int(r["first"]), r["stem"]) for r in written)
+
+
+def _table(packed: DataFrame, parts: int, tables, folder: str) -> tuple[list[tuple[int, str]], list[int]]:
+    """Deals the blocks to the parts, which write their arrays: (first key, stem) of each file, and counts of counts."""
+    files = stored(packed.repartition(parts, "part").mapInArrow(tables(folder), _FILE), "lm-files")
+    rows = files.collect()  # one row per part
+    released(files)
+    return sorted((int(r["first"]), r["stem"]) for r in rows if r["stem"]), [sum(r[f"n{k}"] for r in rows) for k in range(1, 5)]
 
 
 def fit(spark, docs: DataFrame) -> Model:
-    """Count the training texts (``docs``: text) and write the model's arrays."""
-    rows = docs.select(tokens(F.col("text")).alias("toks")).select(F.explode(grams(F.col("toks"))).alias("g")).select("g.*")
-    tri = stored(
-        rows.groupBy("h3").agg(F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("hc", "hb", "hv", "hu")]), "trigrams"
-    )
-    bi = stored(tri.groupBy("hb").agg(F.count(F.lit(1)).alias("cc"), F.first("hv").alias("hv"), F.first("hu").alias("hu")), "bigrams")
-    uni = (
-        tri.groupBy(F.col("hu").alias("h"))
-        .agg(F.sum("c").alias("c"))
-        .join(bi.groupBy(F.col("hu").alias("h")).agg(F.count(F.lit(1)).alias("cc")), "h", "full")
-        .join(bi.groupBy(F.col("hv").alias("h")).agg(*_kinds(F.col("cc"))), "h", "full")
-    )
-    uni = stored(uni, "unigrams")
-    bi_table = bi.select(F.col("hb").alias("h"), "cc").join(tri.groupBy(F.col("hc").alias("h")).agg(*_kinds(F.col("c"))), "h", "full")
-    totals = uni.agg(F.sum("c").alias("n"), F.count("c").alias("v"), F.sum("cc").alias("t1")).first()
-    n1 = _counts_of_counts(uni, "cc")
+    """Count the training texts among ``docs`` (text, train) and write the model's arrays, as far as ``docs`` need them."""
+    folder = scratch_path(spark, "lm")
+    _local(folder)
+    parts = max(PARTS_PER_SPLIT * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tri, n3 = _table(docs.mapInArrow(_trigram_blocks(parts), _schema(_TRI_CELLS)), parts, _trigram_tables, f"{folder}/tri")
+    told = spark.sparkContext.broadcast(tri)
+    bi, n2 = _table(docs.mapInArrow(_bigram_blocks(told, parts), _schema(_BI_CELLS)), parts, _bigram_tables, f"{folder}/bi")
+    told = spark.sparkContext.broadcast(bi)
+    each = docs.mapInArrow(_words(told), "h long, " + ", ".join(f"{c} double" for c in UNI))
+    uni = stored(each.groupBy("h").agg(*[F.rint(F.sum(c)).cast("long").alias(c) for c in UNI]), "unigrams")
+    counted = {"v": F.col("c") > 0, "more": F.col("cc") >= 3} | {f"n{k}": F.col("cc") == k for k in range(1, 5)}
+    totals = uni.agg(
+        F.sum("c").alias("n"), F.sum("cc").alias("t1"), F.count(F.lit(1)).alias("rows"), *[F.count_if(x).alias(c) for c, x in counted.items()]
+    ).first()
+    n1 = [totals[f"n{k}"] for k in range(1, 5)]
     d1 = discounts(n1)
     t1 = int(totals["t1"] or 0)
-    g1 = (d1[0] * n1[0] + d1[1] * n1[1] + d1[2] * uni.where("cc >= 3").count()) / t1 if t1 else 1.0
-    folder = scratch_path(spark, "lm")
+    g1 = (d1[0] * n1[0] + d1[1] * n1[1] + d1[2] * totals["more"]) / t1 if t1 else 1.0
     return Model(
-        tables={
-            "uni": _write_sorted(uni, "h", UNI, f"{folder}/uni"),
-            "bi": _write_sorted(bi_table, "h", BI, f"{folder}/bi"),
-            "tri": _write_sorted(tri, "h3", TRI, f"{folder}/tri"),
-        },
+        tables={"uni": _write_sorted(uni, "h", UNI, f"{folder}/uni", totals["rows"]), "bi": bi, "tri": tri},
         d1=d1,
-        d2=discounts(_counts_of_counts(bi, "cc")),
-        d3=discounts(_counts_of_counts(tri, "c")),
+        d2=discounts(n2),
+        d3=discounts(n3),
         total=int(totals["n"] or 0),
         vocabulary=int(totals["v"] or 0),
         t1=t1,
@@ -196,14 +442,15 @@ def lookup(parts: list[tuple[int, str]], width: int, hashes: np.ndarray) -> np.n
     out = np.zeros((len(hashes), width), dtype=np.int64)
     if not parts or not len(hashes):
         return out
-    firsts = np.array([p[0] for p in parts], dtype=np.int64)
-    which = np.searchsorted(firsts, hashes, side="right") - 1
-    for f in np.unique(which[which >= 0]):
-        sel = np.flatnonzero(which == f)
-        keys, vals = _mapped(parts[f][1] + ".keys.npy"), _mapped(parts[f][1] + ".vals.npy")
-        at = np.minimum(np.searchsorted(keys, hashes[sel]), len(keys) - 1)
-        hit = keys[at] == hashes[sel]
-        out[sel[hit]] = vals[at[hit]]
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    cut = np.searchsorted(hashes, np.array([p[0] for p in parts], dtype=np.uint64)).tolist()
+    for (_, stem), a, b in zip(parts, cut, [*cut[1:], len(hashes)], strict=True):
+        if a < b:
+            keys, codes, rows = (_mapped(f"{stem}.{name}.npy") for name in ("keys", "codes", "rows"))
+            at = np.minimum(np.searchsorted(keys, hashes[a:b]), len(keys) - 1)
+            hit = keys[at] == hashes[a:b]
+            out[order[a:b][hit]] = rows[codes[at[hit]]]
     return out
 
 
@@ -216,48 +463,62 @@ def _level(count, total, n1, n2, n3, d, lower):
     return np.where(total > 0, p, lower)
 
 
-def token_scores(model: Model):
-    """A mapInPandas function: token hashes to (row, log10 probability, raw count)."""
-
-    def score(batches):
-        for b in batches:
-            uni_w = lookup(model.tables["uni"], len(UNI), b["hu"].to_numpy(np.int64))
-            uni_v = lookup(model.tables["uni"], len(UNI), b["hv"].to_numpy(np.int64))
-            bi_vw = lookup(model.tables["bi"], len(BI), b["hb"].to_numpy(np.int64))
-            bi_uv = lookup(model.tables["bi"], len(BI), b["hc"].to_numpy(np.int64))
-            tri = lookup(model.tables["tri"], 1, b["h3"].to_numpy(np.int64))[:, 0].astype(float)
-            slots = model.vocabulary + 1
-            if model.t1:
-                p1 = np.maximum(uni_w[:, 1] - np.select([uni_w[:, 1] >= 3, uni_w[:, 1] == 2, uni_w[:, 1] == 1], model.d1[::-1], 0.0), 0.0)
-                p1 = p1 / model.t1 + model.g1 / slots
-            else:
-                p1 = np.full(len(b), 1.0 / slots)
-            ctx = uni_v.astype(float)
-            p2 = _level(bi_vw[:, 0].astype(float), ctx[:, 2], ctx[:, 3], ctx[:, 4], ctx[:, 5], model.d2, p1)
-            ctx = bi_uv.astype(float)
-            p3 = _level(tri, ctx[:, 1], ctx[:, 2], ctx[:, 3], ctx[:, 4], model.d3, p2)
-            yield pd.DataFrame({"row": b["row"], "doc_id": b["doc_id"], "logp": np.log10(p3), "c": uni_w[:, 0]})
-
-    return score
+_SCORES = "doc_id long, train_tokens long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _scores(model):
+    """A mapInArrow function: texts (text, train, doc_id) to their sums."""
+
+    def token_scores(m: Model, found: Grams, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability and raw count of each token."""
+        uni_w = lookup(m.tables["uni"], len(UNI), found.w)
+        uni_v = np.r_[uni_w[:1], uni_w[:-1]]
+        uni_v[found.first] = lookup(m.tables["uni"], len(UNI), np.array([_START]))
+        vw = lookup(m.tables["bi"], len(BI), found.vw)
+        tri = lookup(m.tables["tri"], len(TRI), found.uvw)[:, 0]
+        # Not stored, yet in a training text: met there and nowhere else.
+        vw[train & (vw[:, 0] == 0)] = [1, 1, 1, 1, 0, 0]
+        tri = np.where(train, np.maximum(tri, 1), tri).astype(float)
+        uv = np.r_[vw[:1], vw[:-1]]
+        uv[found.first] = lookup(m.tables["bi"], len(BI), _STARTS)
+        uni_v, vw, uv = uni_v.astype(float), vw.astype(float), uv.astype(float)
+        slots = m.vocabulary + 1
+        if m.t1:
+            cc = uni_w[:, 1]
+            p1 = np.maximum(cc - np.select([cc >= 3, cc == 2, cc == 1], m.d1[::-1], 0.0), 0.0) / m.t1 + m.g1 / slots
+        else:
+            p1 = np.full(len(uni_w), 1.0 / slots)
+        p2 = _level(vw[:, 1], *uni_v[:, 2:].T, m.d2, p1)
+        p3 = _level(tri, *uv[:, 2:].T, m.d3, p2)
+        return np.log10(p3), uni_w[:, 0]
+
+    def run(batches):
+        m, hasher = model.value, Hasher()
+        slots = float(m.total + m.vocabulary + 1)
+        for batch in batches:
+            train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for first, texts in blocks(batch.column(0)):
+                found, n = grams(hasher, texts), len(texts)
+                logp, c = token_scores(m, found, train[first : first + n][found.owner])
+                rows = {
+                    "doc_id": batch.column(2).slice(first, n),
+                    "train_tokens": np.full(n, m.total),
+                    "n_tokens": np.bincount(found.owner, minlength=n),
+                    "n_known": np.bincount(found.owner[c > 0], minlength=n),
+                    "base_score": np.bincount(found.owner, np.log10((c + 1) / slots), n),
+                    "score": np.bincount(found.owner, logp, n),
+                }
+                yield pa.RecordBatch.from_pydict(rows)
+
+    return run
 
 
 def scored(spark, docs: DataFrame, train: Column) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, train_tokens, n_tokens, n_known, base_score, score.
 
-    The model is fitted on the rows where ``train`` holds. Rows are numbered once, in the plan
-    that explodes their tokens; token rows of a text stay in one task, so the sums per text are
-    combined there before the only shuffle of scores.
+    The model is fitted on the rows where ``train`` holds; it serves these rows of ``docs`` only.
+    Each text is scored and summed in the task that reads it.
     """
-    model = fit(spark, docs.where(train))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", tokens(F.col("text")).alias("toks"))
-    rows = rows.select("row", "doc_id", F.explode(grams(F.col("toks"))).alias("g"))
-    per_token = rows.select("row", "doc_id", "g.*").mapInPandas(token_scores(model), "row long, doc_id long, logp double, c long")
-    slots = float(model.total + model.vocabulary + 1)
-    base = F.log10((F.col("c") + 1) / F.lit(slots))
-    return per_token.groupBy("row", "doc_id").agg(
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.count(F.when(F.col("c") > 0, 1)).alias("n_known"),
-        F.sum(base).alias("base_score"),
-        F.sum("logp").alias("score"),
-    ).drop("row")
+    docs = docs.select("text", F.coalesce(train, F.lit(False)).alias("train"), F.col("doc_id").cast("long").alias("doc_id"))
+    model = spark.sparkContext.broadcast(fit(spark, docs.select("text", "train")))
+    return docs.mapInArrow(_scores(model), _SCORES)

@@ -1,6 +1,10 @@
 """op13: Kneser-Ney scores from the memory-mapped arrays against a plain restatement."""
 
 import math
+import os
+import random
+import time
+from urllib.parse import urlparse
 
 import brute
 import pyarrow as pa
@@ -9,6 +13,7 @@ import pytest
 
 from fieldstats.llm import lm
 from fieldstats.llm.queries import QUERIES
+from fieldstats.session import scratch_path
 
 
 def _write(folder, rows, extra=False):
@@ -69,3 +74,42 @@ def test_empty_and_no_training_rows(spark, tmp_path):
     got = [tuple(r) for r in QUERIES["op13_lm_scores"](spark, str(held)).collect()]
     _same(got, brute.lm_scores(rows))
     assert all(r[6] == 0.0 for r in got)
+
+
+def _prose(n, words, seed=11):
+    """Rows of invented text, most of its trigrams seen once, some of them on both sides of the split."""
+    rnd = random.Random(seed)
+    pick = lambda: f"w{int(rnd.paretovariate(0.6)) % 5000}"
+    texts = [" ".join(pick() for _ in range(words)) for _ in range(n)]
+    return [(i, " ".join([t, *texts[i - 1].split()[: words // 4]])) for i, t in enumerate(texts)]
+
+
+def test_ngrams_seen_once_on_both_sides_of_the_split(spark, tmp_path):
+    rows = _prose(120, 40)
+    _write(tmp_path, rows)
+    got = [tuple(r) for r in QUERIES["op13_lm_scores"](spark, str(tmp_path)).collect()]
+    _same(got, brute.lm_scores(rows))
+
+
+def _bytes_left(spark):
+    """Bytes of shuffle files and of the scratch folder of this session."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    root = urlparse(scratch_path(spark, "x").rsplit("/", 1)[0]).path
+    files |= {os.path.join(d, f) for d, _, names in os.walk(root) for f in names}
+    return sum(os.path.getsize(f) for f in files if os.path.exists(f))
+
+
+def test_disk_a_token(spark, tmp_path):
+    """Counting leaves no shuffle files, and the model less than 8 bytes a token (before: 28 of both)."""
+    rows = _prose(1000, 160)
+    _write(tmp_path, rows)
+    before = _bytes_left(spark)
+    QUERIES["op13_lm_scores"](spark, str(tmp_path))
+    tokens = sum(len(t.split()) + 1 for _, t in rows)
+    for _ in range(50):  # files are removed in the background
+        left = (_bytes_left(spark) - before) / tokens
+        if left < 8:
+            break
+        time.sleep(0.2)
+    assert left < 8
