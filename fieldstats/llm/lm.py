@@ -12,6 +12,9 @@ the shared folder. Workers map the arrays of one pass into memory for the next o
 3. words, from the bigrams in the same way (a plain aggregation of one row per word and task);
 4. scores: the n-grams of each text are looked up and summed within its task.
 
+Lookups are shared: a task gathers the n-grams of many blocks of texts, sorts them and searches
+each distinct one once; what a score needs of one n-gram alone is worked out once for it.
+
 An n-gram met once in training is stored only if a text outside the training rows holds it too:
 a training text that holds an n-gram which is not stored is itself the one place where it occurs.
 Shuffled hashes are sorted and kept as differences, bytes of equal weight together, which
@@ -55,6 +58,8 @@ from fieldstats.session import scratch_path
 MIN_DISCOUNT = 0.1
 #: Tokens whose n-grams a task holds before it combines and passes them on (8 to 24 bytes each).
 AT_ONCE = 1 << 21
+#: Tokens that a task scores at once.
+SCORE_AT_ONCE = 1 << 19
 #: Parts of the hash range for each partition that the texts are read in.
 PARTS_PER_SPLIT = 4
 #: Rows of one sorted array file; a table of R rows is written as about R / FILE_ROWS files.
@@ -120,6 +125,28 @@ def _texts(batches) -> Iterator[tuple[Grams, np.ndarray]]:
             yield found, train[first : first + len(texts)][found.owner]
 
 
+def _columns(batches, pick) -> Iterator[list[np.ndarray]]:
+    """What ``pick`` takes of each block of texts, column by column, for ``AT_ONCE`` tokens or one block that has more."""
+    held, n = [], 0
+    for found, train in _texts(batches):
+        held.append(pick(found, train))
+        n += len(train)
+        if n >= AT_ONCE:
+            yield _joined(held)
+            held, n = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    columns = [list(x) for x in zip(*held, strict=True)]
+    held.clear()
+    out = []
+    while columns:  # a joined column's blocks are given up
+        out.append(np.concatenate(columns.pop(0)))
+    return out
+
+
 def _planes(values: np.ndarray) -> bytes:
     """64-bit numbers, their lowest bytes first, then the next ones, and so on."""
     return np.ascontiguousarray(values, dtype=np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -175,6 +202,24 @@ def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _ordered(keys: np.ndarray, ends: np.ndarray, goes: np.ndarray) -> np.ndarray:
+    """Order by key, ends and goes, of rows that are in order of their keys."""
+    if not len(keys):
+        return np.empty(0, dtype=np.int64)
+    run = np.zeros(len(keys), dtype=np.int64)
+    run[_runs(keys)] = 1
+    run = np.cumsum(run)
+    wide, high = int(goes.max()) + 1, int(ends.max()) + 1
+    if (int(run[-1]) + 1) * wide * high >= 1 << 63:  # too large for one number
+        return np.lexsort((goes, ends, run))
+    return np.argsort((run * high + ends) * wide + goes)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[_runs(keys)]
+
+
 _TRI_CELLS = ["one", "more", "times", "held"]
 
 
@@ -186,7 +231,7 @@ def _trigram_blocks(parts: int):
         keys = keys[first]
         one = times == 1
         more = keys[~one]
-        return _cells({"one": (keys[one], None), "more": (more, None), "times": (more, times[~one]), "held": (np.unique(np.concatenate(held)), None)}, parts)
+        return _cells({"one": (keys[one], None), "more": (more, None), "times": (more, times[~one]), "held": (_distinct(np.concatenate(held)), None)}, parts)
 
     def run(batches):
         ours, held, n = [], [], 0
@@ -213,7 +258,7 @@ def _trigram_tables(folder: str):
             keys, times = keys[order], times[order]
             first = _runs(keys)
             keys, times = keys[first], np.add.reduceat(times, first) if len(first) else times
-            keep = (times > 1) | np.isin(keys, np.unique(_unstepped(own["held"])), assume_unique=True)
+            keep = (times > 1) | np.isin(keys, _distinct(_unstepped(own["held"])), assume_unique=True)
             yield _file(folder, p, keys[keep], times[keep, None], times)
 
     return run
@@ -225,8 +270,16 @@ _BI_CELLS = ["once", "key", "ends", "goes", "times", "held"]
 def _bigram_blocks(trigrams, parts: int):
     """Per bigram: positions by the counts of the trigram that ends there and of the one that goes on (0: none)."""
 
-    def packed(ours: list, held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, ends, goes = (np.concatenate(x) for x in zip(*ours, strict=True))
+    def positions(uvw, vw, first, last, train) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        rows, at = lookup(trigrams.value, len(TRI), uvw)
+        count = np.maximum(rows[:, 0], 1)[at]
+        goes = np.where(last, 0, np.r_[count[1:], 0])
+        starts = first & train
+        begin = np.full(int(starts.sum()), _STARTS[0])
+        ends = np.r_[count[train], np.zeros(len(begin), dtype=np.int64)]
+        return np.r_[vw[train], begin], ends, np.r_[goes[train], count[starts]], _distinct(np.r_[vw[~train], _STARTS])
+
+    def packed(keys, ends, goes, held) -> pa.RecordBatch:
         order = np.argsort(keys)
         keys, ends, goes = keys[order], ends[order], goes[order]
         first = _runs(keys)
@@ -235,29 +288,17 @@ def _bigram_blocks(trigrams, parts: int):
         once &= (ends == 1) & (goes == 1)
         plain = keys[once]
         keys, ends, goes = keys[~once], ends[~once], goes[~once]
-        order = np.lexsort((goes, ends, keys))
-        keys, ends, goes = keys[order], ends[order], goes[order]
+        order = _ordered(keys, ends, goes)
+        ends, goes = ends[order], goes[order]  # the keys are in order already
         first = _runs(keys, ends, goes)
         times = np.diff(first, append=len(keys))
         keys = keys[first]
         cells = {"once": (plain, None), "key": (keys, None), "ends": (keys, ends[first]), "goes": (keys, goes[first]), "times": (keys, times)}
-        return _cells(cells | {"held": (np.unique(np.concatenate(held)), None)}, parts)
+        return _cells(cells | {"held": (held, None)}, parts)
 
     def run(batches):
-        ours, held, n = [], [], 0
-        for found, train in _texts(batches):
-            count = np.maximum(lookup(trigrams.value, len(TRI), found.uvw)[:, 0], 1)
-            goes = np.where(found.last, 0, np.r_[count[1:], 0])
-            starts = found.first & train
-            begin = np.full(int(starts.sum()), _STARTS[0])
-            ours.append((np.r_[found.vw[train], begin], np.r_[count[train], np.zeros(len(begin), dtype=np.int64)], np.r_[goes[train], count[starts]]))
-            held.append(np.r_[found.vw[~train], _STARTS])
-            n += len(train)
-            if n >= AT_ONCE:
-                yield packed(ours, held)
-                ours, held, n = [], [], 0
-        if n:
-            yield packed(ours, held)
+        for columns in _columns(batches, lambda f, train: (f.uvw, f.vw, f.first, f.last, train)):
+            yield packed(*positions(*columns))
 
     return run
 
@@ -282,7 +323,7 @@ def _bigram_tables(folder: str):
             parts = [np.where(ends > 0, times, 0), np.where(ends > 0, times / np.maximum(ends, 1), 0.0), np.where(goes > 0, times, 0), *_types(goes, share)]
             # whole numbers, but for rounding of the 1 / c
             values = np.stack([np.rint(np.add.reduceat(x, first)).astype(np.int64) for x in parts], axis=1) if len(first) else np.empty((0, len(BI)), dtype=np.int64)
-            keep = (values[:, 0] != 1) | np.isin(keys, np.unique(_unstepped(own["held"])), assume_unique=True)
+            keep = (values[:, 0] != 1) | np.isin(keys, _distinct(_unstepped(own["held"])), assume_unique=True)
             yield _file(folder, p, keys[keep], values[keep], values[:, 1])
 
     return run
@@ -291,27 +332,21 @@ def _bigram_tables(folder: str):
 def _words(bigrams):
     """Rows (h, UNI) per word of some texts: occurrences, and shares of the types of bigrams that end and begin with it."""
 
-    def summed(found: list) -> pa.RecordBatch:
-        w, first, cc, share = (np.concatenate(x) for x in zip(*found, strict=True))
+    def summed(w, first, vw) -> pa.RecordBatch:
+        rows, at = lookup(bigrams.value, len(BI), vw)
+        c, cc = np.maximum(rows[:, 0], 1), np.maximum(rows[:, 1], 1)
+        share, begun, kind = (1.0 / c)[at], (cc / c)[at], (np.minimum(cc, 3) - 1)[at]
         keys, at_w = np.unique(w, return_inverse=True)
         keys = np.r_[keys, _START]
-        at_v = np.r_[0, at_w[:-1]]
+        at_v = np.r_[0, at_w[:-1]][: len(at_w)]
         at_v[first] = len(keys) - 1
-        sums = [np.bincount(at_w, minlength=len(keys)), np.bincount(at_w, share, len(keys)), np.bincount(at_v, cc * share, len(keys))]
-        sums += [np.bincount(at_v, x, len(keys)) for x in _types(cc, share)]
+        types = np.bincount(3 * at_v + kind, share, 3 * len(keys)).reshape(-1, 3)
+        sums = [np.bincount(at_w, minlength=len(keys)), np.bincount(at_w, share, len(keys)), np.bincount(at_v, begun, len(keys)), *types.T]
         return pa.RecordBatch.from_pydict({"h": (keys ^ _TOP).view(np.int64)} | {c: x.astype(float) for c, x in zip(UNI, sums, strict=True)})
 
     def run(batches):
-        held, n = [], 0
-        for found, train in _texts(batches):
-            pair = np.maximum(lookup(bigrams.value, len(BI), found.vw[train])[:, :2], 1)
-            held.append((found.w[train], found.first[train], pair[:, 1], 1.0 / pair[:, 0]))
-            n += len(pair)
-            if n >= AT_ONCE:
-                yield summed(held)
-                held, n = [], 0
-        if n:
-            yield summed(held)
+        for columns in _columns(batches, lambda f, train: (f.w[train], f.first[train], f.vw[train])):
+            yield summed(*columns)
 
     return run
 
@@ -433,34 +468,40 @@ _MAPPED: dict[str, np.ndarray] = {}
 
 def _mapped(path: str) -> np.ndarray:
     if path not in _MAPPED:
-        _MAPPED[path] = np.load(path, mmap_mode="r")
+        _MAPPED[path] = np.asarray(np.load(path, mmap_mode="r"))  # a plain array over the map: cheaper to index
     return _MAPPED[path]
 
 
-def lookup(parts: list[tuple[int, str]], width: int, hashes: np.ndarray) -> np.ndarray:
-    """Values of each hash (zeros where absent), from the memory-mapped sorted arrays."""
-    out = np.zeros((len(hashes), width), dtype=np.int64)
-    if not parts or not len(hashes):
-        return out
+def lookup(parts: list[tuple[int, str]], width: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the distinct hashes (zeros where absent), from the memory-mapped sorted arrays, and each hash's row in them."""
     order = np.argsort(hashes)
     hashes = hashes[order]
+    new = _runs(hashes)
+    at_hash = np.empty(len(hashes), dtype=np.int64)
+    at_hash[order] = np.repeat(np.arange(len(new)), np.diff(new, append=len(hashes)))
+    hashes = hashes[new]
+    out = np.zeros((len(hashes), width), dtype=np.int64)
+    if not parts or not len(hashes):
+        return out, at_hash
     cut = np.searchsorted(hashes, np.array([p[0] for p in parts], dtype=np.uint64)).tolist()
     for (_, stem), a, b in zip(parts, cut, [*cut[1:], len(hashes)], strict=True):
         if a < b:
             keys, codes, rows = (_mapped(f"{stem}.{name}.npy") for name in ("keys", "codes", "rows"))
             at = np.minimum(np.searchsorted(keys, hashes[a:b]), len(keys) - 1)
-            hit = keys[at] == hashes[a:b]
-            out[order[a:b][hit]] = rows[codes[at[hit]]]
-    return out
+            hit = np.flatnonzero(keys[at] == hashes[a:b])
+            out[a + hit] = rows[codes[at[hit]]]
+    return out, at_hash
+
+
+def _discounted(count: np.ndarray, d: list[float]) -> np.ndarray:
+    return np.maximum(count - np.array([0.0, *d])[np.minimum(count, 3).astype(np.int64)], 0.0)
 
 
-def _level(count, total, n1, n2, n3, d, lower):
-    """Interpolated discounted probability, or ``lower`` where the context has no count."""
+def _context(total: np.ndarray, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray, d: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """What discounted counts are divided by, and the weight of the lower order (which is left alone where the context has no count)."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        disc = np.where(count >= 3, d[2], np.where(count == 2, d[1], np.where(count == 1, d[0], 0.0)))
         gamma = (d[0] * n1 + d[1] * n2 + d[2] * n3) / total
-        p = np.maximum(count - disc, 0.0) / total + gamma * lower
-    return np.where(total > 0, p, lower)
+    return np.where(total > 0, total, np.inf), np.where(total > 0, gamma, 1.0)
 
 
 _SCORES = "doc_id long, train_tokens long, n_tokens long, n_known long, base_score double, score double"
@@ -469,46 +510,65 @@ _SCORES = "doc_id long, train_tokens long, n_tokens long, n_known long, base_sco
 def _scores(model):
     """A mapInArrow function: texts (text, train, doc_id) to their sums."""
 
-    def token_scores(m: Model, found: Grams, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability and raw count of each token."""
-        uni_w = lookup(m.tables["uni"], len(UNI), found.w)
-        uni_v = np.r_[uni_w[:1], uni_w[:-1]]
-        uni_v[found.first] = lookup(m.tables["uni"], len(UNI), np.array([_START]))
-        vw = lookup(m.tables["bi"], len(BI), found.vw)
-        tri = lookup(m.tables["tri"], len(TRI), found.uvw)[:, 0]
-        # Not stored, yet in a training text: met there and nowhere else.
-        vw[train & (vw[:, 0] == 0)] = [1, 1, 1, 1, 0, 0]
-        tri = np.where(train, np.maximum(tri, 1), tri).astype(float)
-        uv = np.r_[vw[:1], vw[:-1]]
-        uv[found.first] = lookup(m.tables["bi"], len(BI), _STARTS)
-        uni_v, vw, uv = uni_v.astype(float), vw.astype(float), uv.astype(float)
-        slots = m.vocabulary + 1
+    def token_scores(m: Model, w, vw, uvw, first, train) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each token, whether training has it, and its log10 base probability.
+
+        What depends on one n-gram only is worked out once for each distinct one.
+        """
+        uni, at = lookup(m.tables["uni"], len(UNI), np.r_[w, _START])
+        w, v = at[:-1], np.r_[at[:1], at[:-2]]
+        v[first] = at[-1]
         if m.t1:
-            cc = uni_w[:, 1]
-            p1 = np.maximum(cc - np.select([cc >= 3, cc == 2, cc == 1], m.d1[::-1], 0.0), 0.0) / m.t1 + m.g1 / slots
+            p1 = _discounted(uni[:, 1], m.d1) / m.t1 + m.g1 / (m.vocabulary + 1)
         else:
-            p1 = np.full(len(uni_w), 1.0 / slots)
-        p2 = _level(vw[:, 1], *uni_v[:, 2:].T, m.d2, p1)
-        p3 = _level(tri, *uv[:, 2:].T, m.d3, p2)
-        return np.log10(p3), uni_w[:, 0]
+            p1 = np.full(len(uni), 1.0 / (m.vocabulary + 1))
+        total, gamma = _context(*uni[:, 2:].T.astype(float), m.d2)
+        known, base = (uni[:, 0] > 0)[w], np.log10((uni[:, 0] + 1) / float(m.total + m.vocabulary + 1))[w]
+        p, total, gamma = p1[w], total[v], gamma[v]
+
+        bi, at = lookup(m.tables["bi"], len(BI), np.r_[vw, _STARTS])
+        # Not stored, yet in a training text: met there and nowhere else.
+        bi = np.r_[bi, [[1, 1, 1, 1, 0, 0]]]
+        vw = np.where(train & (bi[:, 0] == 0)[at[:-1]], len(bi) - 1, at[:-1])
+        uv = np.r_[vw[:1], vw[:-1]]
+        uv[first] = at[-1]
+        p = _discounted(bi[:, 1], m.d2)[vw] / total + gamma * p
+        total, gamma = _context(*bi[:, 2:].T.astype(float), m.d3)
+        total, gamma = total[uv], gamma[uv]
+
+        tri, at = lookup(m.tables["tri"], len(TRI), uvw)
+        top = np.where(train & (tri[:, 0] == 0)[at], _discounted(np.ones(1), m.d3), _discounted(tri[:, 0], m.d3)[at])
+        return np.log10(top / total + gamma * p), known, base
+
+    def summed(m: Model, ids: list[int | None], held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        n = len(ids)
+        owner, *columns = _joined(held)
+        logp, known, base = token_scores(m, *columns)
+        rows = {
+            "doc_id": pa.array(ids, pa.int64()),
+            "train_tokens": np.full(n, m.total),
+            "n_tokens": np.bincount(owner, minlength=n),
+            "n_known": np.bincount(owner[known], minlength=n),
+            "base_score": np.bincount(owner, base, n),
+            "score": np.bincount(owner, logp, n),
+        }
+        return pa.RecordBatch.from_pydict(rows)
 
     def run(batches):
         m, hasher = model.value, Hasher()
-        slots = float(m.total + m.vocabulary + 1)
+        ids, held, n, tokens = [], [], 0, 0
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for first, texts in blocks(batch.column(0)):
-                found, n = grams(hasher, texts), len(texts)
-                logp, c = token_scores(m, found, train[first : first + n][found.owner])
-                rows = {
-                    "doc_id": batch.column(2).slice(first, n),
-                    "train_tokens": np.full(n, m.total),
-                    "n_tokens": np.bincount(found.owner, minlength=n),
-                    "n_known": np.bincount(found.owner[c > 0], minlength=n),
-                    "base_score": np.bincount(found.owner, np.log10((c + 1) / slots), n),
-                    "score": np.bincount(found.owner, logp, n),
-                }
-                yield pa.RecordBatch.from_pydict(rows)
+                f = grams(hasher, texts)
+                ids += batch.column(2).slice(first, len(texts)).to_pylist()  # a slice would hold the whole batch
+                held.append((f.owner + n, f.w, f.vw, f.uvw, f.first, train[first : first + len(texts)][f.owner]))
+                n, tokens = n + len(texts), tokens + len(f.w)
+                if tokens >= SCORE_AT_ONCE:
+                    yield summed(m, ids, held)
+                    ids, held, n, tokens = [], [], 0, 0
+        if held:
+            yield summed(m, ids, held)
 
     return run
 

@@ -7,6 +7,7 @@ import time
 from urllib.parse import urlparse
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -113,3 +114,61 @@ def test_disk_a_token(spark, tmp_path):
             break
         time.sleep(0.2)
     assert left < 8
+
+
+class _Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def _scores_here(model, rows):
+    """Scores of (doc_id, text), all of them training rows, in this process; and how often an array file was searched."""
+    ids, texts = zip(*rows)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([True] * len(rows)), pa.array(ids, pa.int64())], names=["text", "train", "doc_id"])
+    searched = []
+    plain = lm._mapped
+    lm._mapped = lambda path: (searched.append(path) if path.endswith("keys.npy") else None, plain(path))[1]
+    try:
+        out = pa.Table.from_batches(lm._scores(_Held(model))([batch])).to_pylist()
+    finally:
+        lm._mapped = plain
+    return [tuple(r.values()) for r in out], len(searched)
+
+
+def test_blocks_of_texts_share_their_lookups(spark, monkeypatch):
+    """Twenty blocks of texts search each file once (before: once a block), with the scores of texts looked up alone."""
+    rows = [*enumerate([*TEXTS, *(t for _, t in _prose(1000, 900))])]
+    docs = spark.createDataFrame([(t, True) for _, t in rows], "text string, train boolean")
+    model = lm.fit(spark, docs)
+    monkeypatch.setattr(lm, "SCORE_AT_ONCE", 1 << 24, raising=False)
+    together, searched = _scores_here(model, rows)
+    files = sum(len(parts) for parts in model.tables.values())
+    assert files <= searched <= files + 3
+    monkeypatch.setattr(lm, "SCORE_AT_ONCE", 1)
+    alone, more = _scores_here(model, rows)
+    assert together == alone and more > 5 * searched
+
+
+def test_each_distinct_hash_is_looked_up_once(tmp_path):
+    keys = np.array([3, 5, 1 << 63, (1 << 64) - 1], dtype=np.uint64)
+    values = np.array([[1, 7], [2, 7], [2, 7], [4, 9]])
+    parts = [(int(k[0]), lm._save(str(tmp_path), k, v)) for k, v in ((keys[:2], values[:2]), (keys[2:], values[2:]))]
+    wanted = np.array([5, 0, 5, (1 << 64) - 1, 4, 1 << 63, 5, 3], dtype=np.uint64)
+    rows, at = lm.lookup(parts, 2, wanted)
+    assert len(rows) == len(set(wanted.tolist()))
+    known = dict(zip(keys.tolist(), values.tolist()))
+    assert rows[at].tolist() == [known.get(h, [0, 0]) for h in wanted.tolist()]
+    rows, at = lm.lookup([], 2, wanted)
+    assert rows[at].tolist() == [[0, 0]] * len(wanted)
+
+
+def test_positions_in_order_of_large_counts():
+    rnd = random.Random(5)
+    for top in (3, 1 << 40):  # one number, and too large for one
+        rows = sorted(((rnd.randrange(9), rnd.randrange(top), rnd.choice([0, 1, top])) for _ in range(300)), key=lambda r: r[0])
+        keys, ends, goes = (np.array(x) for x in zip(*rows))
+        order = lm._ordered(keys.astype(np.uint64), ends, goes)
+        assert (np.stack([keys, ends, goes])[:, order].T == np.array(sorted(rows))).all()
+        assert (keys[order] == keys).all()
+    none = np.empty(0, dtype=np.int64)
+    assert len(lm._ordered(none.astype(np.uint64), none, none)) == 0
