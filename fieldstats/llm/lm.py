@@ -270,8 +270,10 @@ _BI_CELLS = ["once", "key", "ends", "goes", "times", "held"]
 def _bigram_blocks(trigrams, parts: int):
     """Per bigram: positions by the counts of the trigram that ends there and of the one that goes on (0: none)."""
 
-    def positions(uvw, vw, first, last, train) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        rows, at = lookup(trigrams.value, len(TRI), uvw)
+    def positions(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        rows, at = lookup(trigrams.value, len(TRI), columns.pop(0))
+        vw, first, last, train = columns
+        columns.clear()  # nothing is held for the packing but what is returned
         count = np.maximum(rows[:, 0], 1)[at]
         goes = np.where(last, 0, np.r_[count[1:], 0])
         starts = first & train
@@ -298,7 +300,7 @@ def _bigram_blocks(trigrams, parts: int):
 
     def run(batches):
         for columns in _columns(batches, lambda f, train: (f.uvw, f.vw, f.first, f.last, train)):
-            yield packed(*positions(*columns))
+            yield packed(*positions(columns))
 
     return run
 
@@ -332,8 +334,9 @@ def _bigram_tables(folder: str):
 def _words(bigrams):
     """Rows (h, UNI) per word of some texts: occurrences, and shares of the types of bigrams that end and begin with it."""
 
-    def summed(w, first, vw) -> pa.RecordBatch:
-        rows, at = lookup(bigrams.value, len(BI), vw)
+    def summed(columns: list[np.ndarray]) -> pa.RecordBatch:
+        rows, at = lookup(bigrams.value, len(BI), columns.pop())
+        w, first = columns
         c, cc = np.maximum(rows[:, 0], 1), np.maximum(rows[:, 1], 1)
         share, begun, kind = (1.0 / c)[at], (cc / c)[at], (np.minimum(cc, 3) - 1)[at]
         keys, at_w = np.unique(w, return_inverse=True)
@@ -346,7 +349,7 @@ def _words(bigrams):
 
     def run(batches):
         for columns in _columns(batches, lambda f, train: (f.w[train], f.first[train], f.vw[train])):
-            yield summed(*columns)
+            yield summed(columns)
 
     return run
 
@@ -480,6 +483,7 @@ def lookup(parts: list[tuple[int, str]], width: int, hashes: np.ndarray) -> tupl
     at_hash = np.empty(len(hashes), dtype=np.int64)
     at_hash[order] = np.repeat(np.arange(len(new)), np.diff(new, append=len(hashes)))
     hashes = hashes[new]
+    del order, new
     out = np.zeros((len(hashes), width), dtype=np.int64)
     if not parts or not len(hashes):
         return out, at_hash
